@@ -126,7 +126,7 @@ def members_ingest(members: DataFrame, details: DataFrame) -> DataFrame:
     return joined.withColumns(card).drop("card")
 
 
-LESSON_SCHEMA = T.StructType.fromDDL(
+LESSON_SCHEMA = (
     "study_groups array<struct<id bigint, name string>>, discipline struct<id bigint, name string>, "
     "classroom struct<id bigint, name string>, lesson_type struct<name string>, date string, "
     "time_from string, time_to string, "
