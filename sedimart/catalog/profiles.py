@@ -187,17 +187,17 @@ def _(t: Tables) -> DataFrame:
     "resolve_ids",
     """
 WITH named AS (
-  SELECT l_orderkey, list(coalesce(d.id, -100) ORDER BY l_partkey, l_suppkey, l_linenumber) AS ids
+  SELECT l_orderkey, list(CASE WHEN p_type = 'PROMO' THEN -100 ELSE d.id END ORDER BY l_partkey, l_suppkey, l_linenumber) AS ids
   FROM lineitem JOIN part ON p_partkey = l_partkey
-  LEFT JOIN (SELECT p_name, min(p_partkey) AS id FROM part WHERE p_size > 49 GROUP BY p_name) d ON d.p_name = part.p_name
+  LEFT JOIN (SELECT p_name, min(p_partkey) AS id FROM part GROUP BY p_name) d ON d.p_name = part.p_name
   GROUP BY l_orderkey
 )
 SELECT l_orderkey, array_to_string(ids, '|') AS parts FROM named""",
 )
 def _(t: Tables) -> DataFrame:
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    place = F.struct("l_partkey", "l_suppkey", "l_linenumber", "p_name")
+    name = F.when(F.col("p_type") == "PROMO", F.lit("no such part")).otherwise(F.col("p_name")).alias("p_name")
+    place = F.struct("l_partkey", "l_suppkey", "l_linenumber", name)
     arrays = lines.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["p_name"]).alias("parts"))
-    dim = t.part.filter("p_size > 49")
-    done, _create = resolve_ids(arrays, "l_orderkey", "parts", dim, "p_name", "p_partkey", -100)
+    done, _create = resolve_ids(arrays, "l_orderkey", "parts", t.part, "p_name", "p_partkey", -100)
     return done.select("l_orderkey", F.array_join(F.col("parts").cast("array<string>"), "|").alias("parts"))

@@ -12,7 +12,7 @@ from sedimart.sources.landing import TABLES, read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["merges", "histories", "picks", "profiles"]
+MODULES = ["merges", "histories", "picks", "profiles", "payload_queries", "joining", "linking_queries"]
 
 
 class Tables:

@@ -87,7 +87,7 @@ def member_join(
     """
     parts = F.split(F.col(list_col), f"\\Q{sep}\\E")
     if trim:
-        parts = F.transform(parts, F.trim)
+        parts = F.transform(parts, lambda x: F.trim(x))
     opened = left.withColumn("__part", F.explode(F.array_distinct(parts)))
     return opened.join(right, F.col("__part") == F.col(right_col)).drop("__part")
 

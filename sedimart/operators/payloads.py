@@ -28,8 +28,9 @@ def explode_payload(
 
 
 def typed_fields(df: DataFrame, elem: str, spec: dict[str, Column]) -> DataFrame:
-    """Replace a payload element by the given field expressions."""
-    return df.select(*[c for c in df.columns if c != elem], *[v.alias(k) for k, v in spec.items()])
+    """Replace a payload element by the given field expressions, which win over equal names."""
+    kept = [c for c in df.columns if c != elem and c not in spec]
+    return df.select(*kept, *[v.alias(k) for k, v in spec.items()])
 
 
 def json_paths(
