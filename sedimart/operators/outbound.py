@@ -18,6 +18,8 @@ from sedimart.functions.fixed import (
 from sedimart.operators.history import scd2_current
 from sedimart.operators.ranking import keep_first, latest_attribute
 
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
 
 def lecturer_payload(hist: DataFrame) -> DataFrame:
     """Open lecturer versions as typed rows and as JSON text."""
@@ -30,7 +32,7 @@ def lecturer_payload(hist: DataFrame) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in marks],
         F.col("rank").cast("int").alias("rank"),
     )
-    return rows.withColumn("payload", F.to_json(F.struct(*rows.columns)))
+    return rows.withColumn("payload", F.to_json(F.struct(*rows.columns), KEEP_NULLS))
 
 
 def profile_items(attrs: DataFrame, cohort: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def profile_payload(items: DataFrame, source: str = "dwh") -> DataFrame:
     return (
         items.groupBy("user_id")
         .agg(ordered.alias("o"))
-        .select("user_id", F.to_json(F.struct(bare.alias("items"), F.lit(source).alias("source"))).alias("payload"))
+        .select("user_id", F.to_json(F.struct(bare.alias("items"), F.lit(source).alias("source")), KEEP_NULLS).alias("payload"))
     )
 
 
