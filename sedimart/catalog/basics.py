@@ -255,7 +255,7 @@ def _(t: Tables) -> DataFrame:
     "math_functions",
     """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(l_linenumber, l_suppkey) AS big, (l_partkey - 500) // 3 AS whole,
-       round(l_extendedprice / l_quantity, 4) AS unit, CAST(floor(l_extendedprice / 100) AS BIGINT) AS hundreds, abs(l_linenumber - 4) AS off
+       round(l_extendedprice + l_quantity, 2) AS unit, CAST(floor(l_extendedprice / 100) AS BIGINT) AS hundreds, abs(l_linenumber - 4) AS off
 FROM lineitem""",
 )
 def _(t: Tables) -> DataFrame:
@@ -266,7 +266,7 @@ def _(t: Tables) -> DataFrame:
         "l_suppkey",
         F.greatest(F.col("l_linenumber").cast("bigint"), "l_suppkey").alias("big"),
         F.expr("(l_partkey - 500) div 3").alias("whole"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("unit"),
+        F.round(F.col("l_extendedprice") + F.col("l_quantity"), 2).alias("unit"),
         F.floor(F.col("l_extendedprice") / 100).alias("hundreds"),
         F.abs(F.col("l_linenumber") - 4).alias("off"),
     )
