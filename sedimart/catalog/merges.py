@@ -10,6 +10,7 @@ from sedimart.catalog.registry import Tables, cents, day, moment, query
 from sedimart.functions.columns import shift_zone
 from sedimart.operators.merge import insert_ignore, update_from, upsert
 from sedimart.plans.infra import incident_history, log_cube, merge_log_cube
+from sedimart.session import materialize
 from sedimart.sources.tables import append_snapshot, full_refresh, replace_slice, retain, rotate_snapshot
 
 FIRST_LOG, SECOND_LOG = "ts < timestamp '2024-01-20'", "ts >= timestamp '2024-01-10'"
@@ -86,7 +87,8 @@ WHERE s.container_name IS NULL AND NOT (f.container_name = 'all' AND f.create_da
 )
 def _(t: Tables) -> DataFrame:
     log = event_log(t.events)
-    stored = log_cube(log.filter(FIRST_LOG), "svc_%").filter("not (container_name = 'all' and create_date = 'all')")
+    first = log_cube(log.filter(FIRST_LOG), "svc_%").filter("not (container_name = 'all' and create_date = 'all')")
+    stored = materialize(first)  # stands for the stored table
     return merge_log_cube(stored, log_cube(log.filter(SECOND_LOG), "svc_%"))
 
 
@@ -108,7 +110,7 @@ def _(t: Tables) -> DataFrame:
         "id string, msk_record_loaded_dttm timestamp_ntz, container_name string, message string, create_ts timestamp_ntz"
     )
     none = t.spark.createDataFrame([], empty)
-    stored = incident_history(none, log.filter(FIRST_LOG), "2024-01-20 00:00:00")
+    stored = materialize(incident_history(none, log.filter(FIRST_LOG), "2024-01-20 00:00:00"))
     merged = incident_history(stored, log.filter(SECOND_LOG), "2024-02-01 00:00:00")
     is_old = F.col("msk_record_loaded_dttm") == F.lit("2024-01-20").cast("timestamp_ntz")
     return merged.select(

@@ -4,6 +4,9 @@ Only the changed side is joined against the target, with inner, left, semi and a
 without hints: a small source is broadcast by Spark's own size check and the target is then not
 shuffled at all, a large one becomes a shuffled join on the keys.  Rows with a NULL key match
 nothing, so they are set aside before the join instead of meeting in one shuffle partition.
+
+Target and source are read more than once: hand in tables.  Where a mart computes its source, it
+writes it first (``session.materialize``), so that the work is not repeated.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from sedimart.functions.fixed import INCIDENT_LEVELS, LOG_LEVELS
 from sedimart.operators.aggregates import labelled_cube
 from sedimart.operators.logs import attach_container, normalise_level, parse_log, parse_processes
 from sedimart.operators.merge import merge_conditional, merge_insert_only
+from sedimart.session import materialize
 
 COUNTERS = ["debug_cnt", "warn_cnt", "info_cnt", "error_cnt", "critical_cnt", "other_cnt"]
 
@@ -42,7 +43,7 @@ def merge_log_cube(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     any_all = lambda c: (c("container_name") == "all") | (c("create_date") == "all")
     return merge_conditional(
         stored,
-        fresh,
+        materialize(fresh),  # the cube is small, the log it is counted from is not
         ["container_name", "create_date"],
         {c: F.greatest for c in COUNTERS},
         matched_if=lambda c: ~any_all(c),
@@ -59,4 +60,4 @@ def incident_history(stored: DataFrame, log: DataFrame, loaded_at: str) -> DataF
     rows = found.withColumn("id", stable_id(*keys)).withColumn(
         "msk_record_loaded_dttm", F.lit(loaded_at).cast("timestamp_ntz")
     )
-    return merge_insert_only(stored, rows.select(*stored.columns), keys)
+    return merge_insert_only(stored, materialize(rows.select(*stored.columns)), keys)

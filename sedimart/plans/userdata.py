@@ -20,7 +20,7 @@ def user_info(info: DataFrame, param: DataFrame) -> DataFrame:
 
 
 def refresh_user_info(stored: DataFrame, info: DataFrame, param: DataFrame) -> DataFrame:
-    fresh = user_info(info, param)
+    fresh = materialize(user_info(info, param))
     return upsert(stored, fresh, ["user_id"], [c for c in fresh.columns if c != "user_id"])
 
 
@@ -33,7 +33,7 @@ def auth_user(user_info_table: DataFrame, auth_method: DataFrame, auth_users: Da
 
 
 def refresh_auth_user(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    return upsert(stored, fresh, ["id"], [c for c in fresh.columns if c != "id"])
+    return upsert(stored, materialize(fresh), ["id"], [c for c in fresh.columns if c != "id"])
 
 
 def member_matches(users: DataFrame, members: DataFrame, trim: bool = False) -> DataFrame:
@@ -60,7 +60,7 @@ def member_matches(users: DataFrame, members: DataFrame, trim: bool = False) ->
 def refresh_member_join(stored: DataFrame, matches: DataFrame) -> DataFrame:
     """Member mart keyed by full name; of several matches the smallest user and card id wins."""
     order = [F.col("userdata_user_id"), F.col("card_id")]
-    return upsert(stored, matches, ["full_name"], [c for c in matches.columns if c != "full_name"], order)
+    return upsert(stored, materialize(matches), ["full_name"], [c for c in matches.columns if c != "full_name"], order)
 
 
 def member_cards(users: DataFrame, members: DataFrame, trim: bool = False) -> DataFrame:
