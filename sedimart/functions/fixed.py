@@ -108,6 +108,46 @@ DIGEST_LIMIT = 17
 DIGEST_KEEP = 13
 DIGEST_ANONYMOUS = "Anonim"
 
+# What counts as a JSON object in a log.  An object that ends in a number or a nested
+# object does not, and is then treated as plain text.
+LOOKS_LIKE_JSON = r'(?s)^\{".+"\}\s*$'
+
+# A log file's path; group 2 is the container's folder.
+LOG_PATH = r"^(.+\/)([^\\/]+)(\/[^\\/]+)$"
+
+# An escaped NUL, unless its backslash is escaped itself.
+NUL_ESCAPE = r"(?<!\\)\\u0000"
+
+# A process list with its closing mark.
+PROCESS_LIST = r"^\s*(.*)\s*\^\s*$"
+
+# Birthdays as the profile and as the member record write them.
+PROFILE_BIRTHDAY = r"^\d{2}\.\d{2}\.\d{4}$"
+MEMBER_BIRTHDAY = r"^\d{4}-\d{2}-\d{2}"
+
+# Source tag of what comes from the member records.
+MEMBER_SOURCE = "union_member"
+
+# Profile parameter that holds the full name.
+NAME_PARAM = "Полное имя"
+
+# Fields of a member's detail document, and of the card object in it.
+DETAIL_FIELDS = [
+    "first_name_translated",
+    "last_name_translated",
+    "middle_name",
+    "middle_name_translated",
+    "student_id",
+    "rzd_status",
+    "rzd_datetime",
+    "rzd_number",
+    "image",
+    "has_student_id",
+    "entry_date",
+    "status_gain_date",
+]
+CARD_FIELDS = ["id", "status", "date", "number", "user"]
+
 # Id given to a room name that is not in the room table.
 UNKNOWN_ROOM = -100
 

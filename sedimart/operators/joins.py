@@ -10,7 +10,6 @@ from sedimart.functions.columns import array_key, as_col, like_built, path_tail
 
 # Anchor lengths of a contains join, longest first.
 ANCHORS = (16, 8, 4, 2, 1)
-WORD_START = r"(?<=\W)(?=\w)"
 
 
 def literal_run(pattern: Column) -> Column:
@@ -23,10 +22,10 @@ def literal_run(pattern: Column) -> Column:
 def _kinds() -> list[tuple[str, str]]:
     """(name, regex whose group 1 is an anchor) from most to least selective.
 
-    An anchor at a word start inside the pattern is also at a word start of the text, so texts
-    are cut at their words only; patterns without one use every position of the text.
+    An anchor that follows a space inside the pattern follows one in the text too, so texts are
+    cut at their words only; patterns without one use every position of the text.
     """
-    aligned = [(f"w{n}", f"(?sU){WORD_START}(?=(.{{{n}}}))") for n in ANCHORS if n >= 8]
+    aligned = [(f"w{n}", rf"(?s)\s(?=(\S.{{{n - 1}}}))") for n in ANCHORS if n >= 8]
     return aligned + [(f"c{n}", f"(?s)(?=(.{{{n}}}))") for n in ANCHORS]
 
 

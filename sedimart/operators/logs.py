@@ -5,23 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedimart.functions.columns import Col, as_col
+from sedimart.functions.fixed import LOG_PATH, LOOKS_LIKE_JSON, NUL_ESCAPE, PROCESS_LIST
 from sedimart.functions.jsontext import json_field
 from sedimart.operators.joins import contains_join
 from sedimart.operators.ranking import best_per_group
 
-# What counts as a JSON object.  An object that ends in a number or a nested object does not,
-# and is then treated as plain text.
-LOOKS_LIKE_JSON = r'^\{".+"\}\s*$'
-LOG_PATH = r"^(.+\/)([^\\/]+)(\/[^\\/]+)$"
-
-
 def _looks_like_json(text: Column) -> Column:
-    return text.rlike("(?s)" + LOOKS_LIKE_JSON)
+    return text.rlike(LOOKS_LIKE_JSON)
 
 
 def strip_nul(text: Col) -> Column:
     """Drop ``\\u0000`` escapes; an escaped backslash before ``u0000`` is text and stays."""
-    return F.regexp_replace(as_col(text), r"(?<!\\)\\u0000", "")
+    return F.regexp_replace(as_col(text), NUL_ESCAPE, "")
 
 
 def parse_log(df: DataFrame) -> DataFrame:
@@ -52,7 +47,7 @@ def parse_log(df: DataFrame) -> DataFrame:
 
 def parse_processes(df: DataFrame) -> DataFrame:
     """Process list snapshots (record, create_ts): ``id::image::name::status::time`` split by ``^``."""
-    body = F.regexp_replace("record", r"^\s*(.*)\s*\^\s*$", "$1")
+    body = F.regexp_replace("record", PROCESS_LIST, "$1")
     line = df.select(F.explode(F.split(body, r"\^")).alias("line"), F.col("create_ts").alias("record_create_ts"))
     part = lambda i: F.split_part(F.trim("line"), F.lit("::"), F.lit(i))
     return line.select(

@@ -8,14 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedimart.functions.columns import Col, as_col, is_blank, keep_if, survive, survive_source
-from sedimart.functions.fixed import PERSON_PARAMS
+from sedimart.functions.fixed import MEMBER_BIRTHDAY, MEMBER_SOURCE, NAME_PARAM, PERSON_PARAMS, PROFILE_BIRTHDAY
 from sedimart.operators.aggregates import eav_pivot, sorted_set
 from sedimart.operators.merge import upsert
 from sedimart.operators.ranking import completeness_dedupe
 
-NAME_PARAM = "Полное имя"
-MEMBER_SOURCE = "union_member"
-
 
 def name_words(col: Col) -> Column:
     """Lower-case words of a name, runs of white space read as one space."""
@@ -130,8 +127,8 @@ def combine(users: DataFrame, members: DataFrame) -> DataFrame:
         out[f"{c}_source"] = survive_source(um(c), c, um("source"), f"{c}_source")
     out["faculty_eng"] = survive(um("faculty_eng"), "faculty")
 
-    dotted = F.col("birthday").rlike(r"^\d{2}\.\d{2}\.\d{4}$")
-    dashed = um("birthday").rlike(r"^\d{4}-\d{2}-\d{2}")
+    dotted = F.col("birthday").rlike(PROFILE_BIRTHDAY)
+    dashed = um("birthday").rlike(MEMBER_BIRTHDAY)
     out["birthday"] = F.when(dotted, F.col("birthday")).otherwise(F.when(dashed, um("birthday")))
     out["birthday_source"] = F.when(dashed, um("source")).when(dotted, F.col("birthday_source"))
 

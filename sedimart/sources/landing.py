@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sedimart.functions.fixed import CARD_FIELDS, DETAIL_FIELDS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -78,23 +80,6 @@ def stack_children(
     return out.withColumnsRenamed(renames or {})
 
 
-DETAIL_FIELDS = [
-    "first_name_translated",
-    "last_name_translated",
-    "middle_name",
-    "middle_name_translated",
-    "student_id",
-    "rzd_status",
-    "rzd_datetime",
-    "rzd_number",
-    "image",
-    "has_student_id",
-    "entry_date",
-    "status_gain_date",
-]
-CARD_FIELDS = ["id", "status", "date", "number", "user"]
-
-
 def members_ingest(members: DataFrame, details: DataFrame) -> DataFrame:
     """Member list joined with the per-member detail documents, the card object flattened.
 

@@ -202,7 +202,7 @@ def test_outbound(spark):
     groups = spark.createDataFrame([(1, [22]), (2, [5]), (3, [22, 6])], "user_id int, groups array<int>")
     inside = spark.createDataFrame([(1,), (3,)], "user_id int")
     assert rows(membership_changes(members, groups, inside, 22)) == [(1, "add", [22]), (2, "add", [5, 22]), (3, "remove", [6])]
-    people = [("B", "1", "Физический факультет МГУ", "Член профсоюза"), ("A", "1", "физический факультет", "член профсоюза"), ("", "2", "физический факультет", "член профсоюза"), ("C", "3", "other", "член профсоюза")]
+    people = [("B", "1", "Старый Физический факультет", "Член профсоюза"), ("A", "1", "физический факультет", "член профсоюза"), ("", "2", "физический факультет", "член профсоюза"), ("C", "3", "other", "член профсоюза")]
     listed = printer_list(spark.createDataFrame(people, "last_name string, card_number string, faculty string, status string"))
     assert rows(listed, "username", "union_number") == [("A", "1")]
     comments = spark.createDataFrame(
