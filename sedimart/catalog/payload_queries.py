@@ -291,7 +291,7 @@ FROM parsed p JOIN named n ON p.container_id LIKE '%' || n.container_id || '%'""
 
 @query("container_attach", _ATTACH_SQL)
 def _(t: Tables) -> DataFrame:
-    return _shown(attach_container(parse_log(raw_log(t)), parse_processes(raw_processes(t))))
+    return _shown(container_log(raw_log(t), raw_processes(t)))
 
 
 @query(
@@ -299,6 +299,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT container_name, count(*) AS n, count(CASE WHEN level_name = 'error' THEN 1 END) AS errors FROM ({_ATTACH_SQL}) GROUP BY container_name",
 )
 def _(t: Tables) -> DataFrame:
-    log = container_log(raw_log(t), raw_processes(t))
+    # here the containers come from the parsed rows themselves
+    log = attach_container(parse_log(raw_log(t)), parse_processes(raw_processes(t)))
     level = F.get_json_object("record", "$.level_name")
     return log.groupBy("container_name").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(level == "error", 1)).alias("errors"))

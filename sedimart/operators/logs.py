@@ -66,14 +66,21 @@ def latest_names(processes: DataFrame) -> DataFrame:
     return best_per_group(processes, ["container_id"], newest).select("container_id", "container_name")
 
 
-def attach_container(logs: DataFrame, processes: DataFrame) -> DataFrame:
+def log_folders(df: DataFrame) -> DataFrame:
+    """Distinct containers of the shipper rows, read from the log paths alone."""
+    return df.select(F.regexp_extract("logfile", LOG_PATH, 2).alias("container_id")).filter("container_id <> ''").distinct()
+
+
+def attach_container(logs: DataFrame, processes: DataFrame, containers: DataFrame | None = None) -> DataFrame:
     """Name every log row by the process whose id is part of its container id.
 
     Containers are few and log rows many: the containment is settled once per distinct
-    container, and the rows then meet the short result on equality.
+    container, and the rows then meet the short result on equality.  ``containers`` (from
+    ``log_folders``) saves reading the records a second time to find the containers.
     """
     names = latest_names(processes).withColumnRenamed("container_id", "__short_id")
-    folders = logs.select(F.col("container_id").alias("__folder")).distinct()
+    known = logs.select("container_id").distinct() if containers is None else containers
+    folders = known.select(F.col("container_id").alias("__folder"))
     named = contains_join(
         folders.withColumn("__folder_id", F.col("__folder")), names, "__folder_id", "__folder", "__short_id", False
     ).select("__folder", "container_name")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sedimart.functions.columns import in_array, not_in_array, stable_id
 from sedimart.functions.fixed import INCIDENT_LEVELS, LOG_LEVELS
 from sedimart.operators.aggregates import labelled_cube
-from sedimart.operators.logs import attach_container, normalise_level, parse_log, parse_processes
+from sedimart.operators.logs import attach_container, log_folders, normalise_level, parse_log, parse_processes
 from sedimart.operators.merge import merge_conditional, merge_insert_only
 from sedimart.session import materialize
 
@@ -15,7 +15,7 @@ COUNTERS = ["debug_cnt", "warn_cnt", "info_cnt", "error_cnt", "critical_cnt", "o
 
 
 def container_log(raw_log: DataFrame, raw_processes: DataFrame) -> DataFrame:
-    return attach_container(parse_log(raw_log), parse_processes(raw_processes))
+    return attach_container(parse_log(raw_log), parse_processes(raw_processes), log_folders(raw_log))
 
 
 def log_cube(log: DataFrame, name_like: str, compat: bool = False) -> DataFrame:
