@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.functions.fixed import SLOT_TIMES
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# the parser travels with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LESSON_COLUMNS = "url string, group string, weekday int, num int, start string, end string, odd boolean, even boolean, name string, error string"
 
 
