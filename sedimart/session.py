@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: what the session names in ``spark.checkpoint.dir``.
+
+    Only a session whose executors run inside the driver may go without; it gets a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.conf.get("spark.master", "").partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="sedimart-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Later jobs read the files with column pruning and survive the loss of executors.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back with a short lineage.
 
