@@ -6,7 +6,7 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import itemgetter
 
 import numpy as np
@@ -18,16 +18,65 @@ from pyspark.sql import DataFrame, functions as F
 CHUNK = 50_000
 #: Characters that a chunk reads beyond each of its ends.
 OVERLAP = 500
-#: Pieces whose ids a worker remembers; beyond it starts afresh, which changes only the time.
-REMEMBERED = 300_000
+#: Pieces whose ids a worker remembers, some 200 MB of them; others are encoded each time.
+REMEMBERED = 1_000_000
+#: Texts that are encoded together.
+TOGETHER = 500
 #: Unicode's white space, as the pattern's \\s has it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CUT = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
+CUT, BLANK = re.compile(f"(?<=[^{WHITE}])[{WHITE}]"), re.compile(f"(?<=[^{WHITE}]) ")
 
 
-@functools.lru_cache(maxsize=4)
-def _codec(ranks_path: str, pattern: str) -> Codec:
-    return Codec(ranks_path, pattern)
+def pieces(text: str) -> list[str]:
+    """The text cut at blanks that follow a visible character; these blanks are left out.
+
+    No pre-token goes on from a visible character to white space, so each cut is a boundary of
+    pre-tokens, wherever pre-tokenising began.
+    """
+    words = text.split(" ")
+    # single blanks between words: a plain split has such places only
+    if "" not in words and not any(map(str.isspace, set(map(itemgetter(-1), words)))):
+        return words
+    return BLANK.split(text)
+
+
+class Remembering:
+    """Encodes texts piece by piece and remembers the ids of pieces, as words come again and again."""
+
+    def __init__(self, encode: Callable[[str], list[int]], token_lengths: np.ndarray):
+        """``encode`` gives ids of a text, ``token_lengths`` the bytes of each id."""
+        self.encode, self.token_lengths = encode, token_lengths
+        self.known: dict[str, bytes] = {}
+
+    def _bytes(self, text: str) -> bytes:
+        return np.array(self.encode(text), dtype="<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pieces with their blank; regular ones are encoded as one text and told apart by their bytes."""
+        regular = [w for w in new if w and not w[-1].isspace()]
+        if regular:
+            ids = np.array(self.encode(" " + " ".join(regular)), dtype="<u4")
+            ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in regular), dtype=np.int64, count=len(regular)))
+            stops = 4 * (np.searchsorted(np.cumsum(self.token_lengths[ids]), ends) + 1)
+            flat, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+            self.known.update((w, flat[a:b]) for w, a, b in zip(regular, starts, stops.tolist(), strict=True))
+        self.known.update((w, self._bytes(f" {w}")) for w in new if not w or w[-1].isspace())
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        cut = [pieces(t) for t in texts]
+        first = [words.pop(0) for words in cut]
+        new = set().union(*cut).difference(self.known)
+        if len(self.known) >= REMEMBERED and 2 * len(new) > len(set().union(*cut)):
+            self.known.clear()  # the words have changed
+            new = set().union(*cut)
+        self._learn(list(new))
+        out = [self._bytes(head) + b"".join(map(self.known.__getitem__, words)) for head, words in zip(first, cut, strict=True)]
+        full = len(self.known) - len(new) >= REMEMBERED
+        for word in new:
+            if full or len(word) > 64:
+                del self.known[word]
+        return out
 
 
 class Codec:
@@ -36,49 +85,28 @@ class Codec:
     def __init__(self, ranks_path: str, pattern: str):
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, piece: str) -> bytes:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        ids = np.array(self.encoding.encode_ordinary(piece), dtype="<u4").tobytes()
-        if len(piece) <= 64:
-            self.known[piece] = ids
-        return ids
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.remembering = Remembering(encoding.encode_ordinary, np.array(list(map(len, self.bytes_of))))
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers.
-
-        A pre-token never goes on from a visible character to white space, so the text may be cut
-        there and each piece encoded alone: pieces are remembered, as words come again and again.
-        """
-        known = self.known
-        return b"".join([known.get(piece) or self._ids(piece) for piece in pieces(text)])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.remembering.ids(texts)
 
     def decode(self, ids: bytes) -> bytes:
         """The raw bytes of the ids, one after the other."""
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def _cuts(text: str) -> list[int]:
-    """Places between a visible character and white space after it: boundaries of pre-tokens wherever one starts."""
-    return [found.start() for found in CUT.finditer(text)]
+@functools.lru_cache(maxsize=4)
+def _codec(ranks_path: str, pattern: str) -> Codec:
+    return Codec(ranks_path, pattern)
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before white space that follows a visible character."""
-    if not text:
-        return []
-    words = text.split(" ")
-    # single blanks between words: a plain split has such places only
-    if "" not in words and not any(map(str.isspace, set(map(itemgetter(-1), words)))):
-        return [words[0], *[f" {w}" for w in words[1:]]]
-    cuts = [0, *_cuts(text), len(text)]
-    return [text[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+def _cuts(text: str) -> list[int]:
+    """Places between a visible character and white space after it, boundaries of pre-tokens wherever one starts."""
+    return [found.start() for found in CUT.finditer(text)]
 
 
 def chunks(text: str, size: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, int, str]]:
@@ -118,8 +146,9 @@ def _encoded_whole(ranks_path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
         for batch in batches:
-            ids = [codec.encode(text) for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"key": batch["key"]} | _digests(codec, ids))
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                yield pa.RecordBatch.from_pydict({"key": part["key"]} | _digests(codec, codec.encode(part["text"].to_pylist())))
 
     return run
 
@@ -150,7 +179,7 @@ def _encoded_chunks(ranks_path: str, pattern: str):
                 # both are kept as distances from the start of an own part: this chunk's and the next one's
                 begins.append(begin - own if whole else None)
                 ends.append(end - own - length if whole else None)
-                ids.append(codec.encode(text[begin:end]) if whole else None)
+                ids.append(codec.encode([text[begin:end]])[0] if whole else None)
                 bodies.append(text[own : own + length])
             yield pa.RecordBatch.from_pydict({c: batch[c] for c in ("row", "key", "chunk")} | {
                 "begin": pa.array(begins, pa.int64()), "end": pa.array(ends, pa.int64()), "ids": pa.array(ids, pa.binary()), "text": bodies,
@@ -168,7 +197,7 @@ def _stitched(ranks_path: str, pattern: str):
         if None not in begin and None not in end and begin[0] == 0 and end[:-1] == begin[1:]:
             all_ids = b"".join(ids)
         else:
-            all_ids = codec.encode("".join(table["text"].to_pylist()))
+            all_ids = codec.encode(["".join(table["text"].to_pylist())])[0]
         return pa.Table.from_pydict({"key": table["key"].slice(0, 1)} | _digests(codec, [all_ids]))
 
     return run
