@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimart.llm import bytebpe, packing, sharding, urls
+from sedimart.llm import bytebpe, packing, quality, sharding, urls
 from sedimart.sources.landing import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,68 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op2_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+_CUTOFFS = ", ".join(f"('{m}', {j}, {c!r}::double)" for m, steps in quality.CUTOFFS.items() for j, c in enumerate(steps))
+_MEASURES = ", ".join(quality.CUTOFFS)
+_RISK, _LIMIT = quality.RISK / len(quality.CUTOFFS), f"{quality.FAILURE!r} / (strata * {sum(map(len, quality.CUTOFFS.values()))})"
+
+ORACLES["op2_risk_controlled_rules"] = rf"""
+with texts as (
+  select row_number() over () as row, doc_id, lang, coalesce(text, '') as text from documents
+), cut as (
+  select row, doc_id, lang, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
+         regexp_replace(text, '[^A-Z]', '', 'g') as upper, regexp_replace(text, '[^#*$%&|<>]', '', 'g') as symbols, regexp_replace(text, '[^!]', '', 'g') as exclaims
+  from texts
+), windows as (
+  select row, i, count(*) over (partition by row, words[i], words[i + 1], words[i + 2]) as times
+  from (select row, words, unnest(generate_series(1, len(words) - 2)) as i from cut)
+), repeated as (
+  select row, count(distinct i + d) as n from windows, (values (0), (1), (2)) as t(d) where times > 1 group by row
+), counted as (
+  select row, doc_id, lang, len(words) as n_words, length(array_to_string(words, '')) as word_chars, length(symbols) as n_symbols,
+         len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
+         len(lines) as n_lines, length(exclaims) as n_exclaim, length(upper) as n_upper
+  from cut left join repeated using (row)
+), measured as (
+  select *, case when n_words > 0 then n_symbols / n_words else 0 end::double as symbol_ratio,
+         case when n_words > 0 then n_exclaim / n_words else 0 end::double as exclaim_ratio,
+         case when word_chars > 0 then n_upper / word_chars else 0 end::double as upper_ratio,
+         case when n_lines > 0 then n_dup_lines / n_lines else 0 end::double as dup_line_ratio,
+         case when n_words > 0 then n_repeat_words / n_words else 0 end::double as repeat_ratio,
+         case when n_words > 0 then word_chars / n_words else 0 end::double as word_length
+  from counted
+), long as (
+  unpivot (select row, doc_id, lang, {_MEASURES} from measured) on {_MEASURES} into name measure value value
+), label as (
+  select doc_id, max(quality) as quality from labels where quality is not null group by doc_id
+), cutoffs(measure, step, cutoff) as (
+  values {_CUTOFFS}
+), tests as (
+  select lang, measure, step, cutoff, count(*) filter (quality > 0) as n, count(*) filter (quality > 0 and value > cutoff) as k,
+         count(*) filter (quality <= 0 and value > cutoff) as caught
+  from long join label using (doc_id) join cutoffs using (measure) group by all
+), tails as (
+  select *, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RISK!r}) + (n - i) * ln(1 - {_RISK!r})))
+             from (select unnest(generate_series(0::bigint, k)) as i)) as chance,
+         (select count(distinct coalesce(lang, '')) from tests) as strata
+  from tests where n > 0
+), chosen as (
+  select lang, measure, arg_max(cutoff, caught * 1000 - step) as cutoff from tails where k < n * {_RISK!r} and chance <= {_LIMIT} group by all
+), failed as (
+  select distinct row from long join chosen on long.measure = chosen.measure and long.lang is not distinct from chosen.lang and value > cutoff
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and failed.row is null as kept
+from measured left join failed using (row)
+"""
+
+
 @query
 def op4_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
