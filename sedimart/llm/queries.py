@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sedimart.llm import bytebpe, packing, quality, sharding, urls
+from sedimart.llm import ann, bytebpe, langid, lm, packing, quality, sharding, urls
 from sedimart.sources.landing import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_recurrent_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    return langid.predict_language(documents, langid.learn(documents))
+
+
 @query
 def op2_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -81,6 +87,11 @@ from measured left join failed using (row)
 """
 
 
+@query
+def op3_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op4_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -118,6 +129,11 @@ def op6_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, folder, "documents"))
 
 
+@query
+def op7_log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, folder, "documents"))
+
+
 @query
 def op10_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
