@@ -3,23 +3,58 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sedimart.llm import packing
+from sedimart.llm import jaccard, langid, packing, quality, suffixes
+from sedimart.session import stage
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of an identified language stay; those without letters, or of no clear language, go."""
+    return langid.keep_identified(docs, langid.learn(docs))
+
+
+def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the certified cutoffs stay. Rows of one id go together."""
+    judged = quality.judge_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rejected = judged.filter("not kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest id stays; documents without id stay."""
+    groups = jaccard.link_groups(docs)
+    further = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(further, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay in the first document that has them; emptied documents go."""
+    return suffixes.drop_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, in sequences of at most 2048 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("language ID", identify),
+    ("quality rules", judge),
+    ("n-gram Jaccard join", deduplicate),
+    ("suffix-array dedup", cut_repeats),
+    ("best-fit packing", pack),
+]
 
-#: Trained models and tokenizers are beyond SQL; tests hold the stages against brute force.
+#: A trained network and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, apply) in enumerate(STAGES):
+        docs = apply(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stage(docs, "corpus")
     return docs

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Labelled documents that the network learns from, at most about so many in all, equally many of each language.
@@ -18,6 +19,8 @@ HIDDEN, WINDOW, STEPS, BATCH, SEED = 8, 48, 400, 256, 7
 STRETCH = 256
 #: Stretches that are read together.
 TOGETHER = 2048
+#: A document whose best language scores less is of no clear language.
+LEAST_SCORE = 0.4
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -200,6 +203,28 @@ def _predicted(network: Network | None):
     return run
 
 
+def _clear(network: Network | None, text: str, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            only = pa.RecordBatch.from_pydict({"text": batch[text]})
+            found = pa.Table.from_batches(_predicted(network)(iter([only])))
+            kept = pc.and_(pc.not_equal(found["lang_pred"], "und"), pc.greater_equal(found["score"], least))
+            yield batch.filter(kept.combine_chunks())
+
+    return run
+
+
+def keep_identified(docs: DataFrame, network: Network | None, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows whose text has a language with a score of ``least`` or more, with all their columns.
+
+    Texts that are null or have no letter go. If there was nothing to learn from, all rows go or
+    stay by their letters alone.
+    """
+    if network is None:
+        return docs.filter(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    return docs.mapInArrow(_clear(network, text, least), docs.schema)
+
+
 def predict_language(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: key, held_out, lang_pred and score, from the text alone.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, quality, sharding, urls
+from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, quality, sharding, suffixes, urls
 from sedimart.sources.landing import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,11 @@ def op8_multiple_orders(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_groups(read_table(spark, folder, "documents"))
 
 
+@query
+def op9_sparse_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_passages(read_table(spark, folder, "documents")).drop("doc")
+
+
 @query
 def op10_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
