@@ -50,19 +50,19 @@ def _(t: Tables) -> DataFrame:
 @query(
     "set_difference",
     """
-WITH a AS (SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem WHERE l_tax < 0.02 AND l_discount < 0.03 AND l_quantity < 20),
-b AS (SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem WHERE l_tax > 0.06 AND l_discount > 0.07 AND l_quantity < 20)
+WITH a AS (SELECT DISTINCT l_partkey, l_returnflag FROM lineitem WHERE l_quantity <= 25),
+b AS (SELECT DISTINCT l_partkey, l_returnflag FROM lineitem WHERE l_quantity > 25)
 SELECT 'only a' AS side, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'only b', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
 UNION ALL SELECT 'both', * FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""",
 )
 def _(t: Tables) -> DataFrame:
-    pick = lambda where: t.lineitem.filter(where + " and l_quantity < 20").select("l_suppkey", "l_returnflag")
-    a = pick("l_tax < 0.02 and l_discount < 0.03").withColumns({"a": F.lit(1), "b": F.lit(0)})
-    b = pick("l_tax > 0.06 and l_discount > 0.07").withColumns({"a": F.lit(0), "b": F.lit(1)})
+    pick = lambda where: t.lineitem.filter(where).select("l_partkey", "l_returnflag")
+    a = pick("l_quantity <= 25").withColumns({"a": F.lit(1), "b": F.lit(0)})
+    b = pick("l_quantity > 25").withColumns({"a": F.lit(0), "b": F.lit(1)})
     # both differences and the intersection out of one aggregation
-    sides = a.unionByName(b).groupBy("l_suppkey", "l_returnflag").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    sides = a.unionByName(b).groupBy("l_partkey", "l_returnflag").agg(F.max("a").alias("a"), F.max("b").alias("b"))
     side = F.when(F.col("b") == 0, "only a").when(F.col("a") == 0, "only b").otherwise("both")
-    return sides.select(side.alias("side"), "l_suppkey", "l_returnflag")
+    return sides.select(side.alias("side"), "l_partkey", "l_returnflag")
 
 
 @query("id_difference", "SELECT DISTINCT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")

@@ -14,9 +14,9 @@ from sedimart.plans.timetable import timetable_mart
 from sedimart.plans.userdata import member_matches, refresh_member_join
 
 
-@query("join_inner", "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0")
+@query("join_inner", "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
 def _(t: Tables) -> DataFrame:
-    rich = t.customer.filter("c_acctbal > 0").select("c_custkey", "c_name", "c_mktsegment")
+    rich = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     return t.orders.join(rich, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "c_mktsegment")
 
 
@@ -24,13 +24,12 @@ def _(t: Tables) -> DataFrame:
     "join_left_agg",
     """
 SELECT c_custkey, n, top FROM customer
-LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n, max(o_totalprice) AS top FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY o_custkey)
 USING (c_custkey)""",
 )
 def _(t: Tables) -> DataFrame:
     sums = (
-        t.orders.filter("o_orderstatus = 'F'")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
     )
     return t.customer.select("c_custkey").join(sums, ["c_custkey"], "left")
@@ -40,13 +39,13 @@ def _(t: Tables) -> DataFrame:
     "join_full_outer",
     """
 SELECT coalesce(a.k, b.k) AS k, a.n AS old_n, b.n AS new_n
-FROM (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1) a
-FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1) b ON a.k = b.k""",
+FROM (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1) a
+FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1) b ON a.k = b.k""",
 )
 def _(t: Tables) -> DataFrame:
     side = lambda where, out: t.orders.filter(where).groupBy(F.col("o_custkey").alias(f"{out}_k")).agg(F.count(F.lit(1)).alias(out))
-    old = side("o_orderdate < timestamp_ntz '1996-01-01'", "old_n")
-    new = side("o_orderdate >= timestamp_ntz '2001-01-01'", "new_n")
+    old = side("o_orderdate < timestamp_ntz '1998-01-01'", "old_n")
+    new = side("o_orderdate >= timestamp_ntz '1998-01-01'", "new_n")
     joined = old.join(new, F.col("old_n_k") == F.col("new_n_k"), "full_outer")
     return joined.select(F.coalesce("old_n_k", "new_n_k").alias("k"), "old_n", "new_n")
 
@@ -330,7 +329,7 @@ WITH lecturer AS (
   UNION ALL SELECT c_custkey, 'old', c_mktsegment, 0, 0, DATE '2023-01-01', DATE '2024-01-01' FROM customer
 ), comment AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS api_uuid, o_custkey AS lecturer_id, repeat(o_orderpriority || '. ', 12) AS text, o_orderstatus, o_orderdate
-  FROM orders WHERE o_orderstatus <> 'P'
+  FROM orders
 ), link AS (
   SELECT o_custkey AS lecturer_id, o_orderkey AS user_id FROM orders WHERE o_totalprice > 100000
 ), users AS (SELECT o_orderkey AS user_id, 'U' || o_orderkey AS full_name, o_orderpriority AS email FROM orders WHERE o_totalprice > 200000)
@@ -372,7 +371,7 @@ def _(t: Tables) -> DataFrame:
         }
     )
     one = F.lit(1)
-    comments = t.orders.filter("o_orderstatus <> 'P'").select(
+    comments = t.orders.select(
         F.col("o_orderkey").cast("string").alias("api_uuid"), F.col("o_orderdate").alias("create_ts"),
         F.col("o_orderdate").alias("update_ts"), F.lit(None).cast("string").alias("subject"),
         F.repeat(F.concat("o_orderpriority", F.lit(". ")), F.lit(12)).alias("text"),
@@ -396,7 +395,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "rental_fanout",
     """
-WITH strike AS (SELECT l_orderkey, l_returnflag AS reason, l_shipdate AS at FROM lineitem WHERE l_returnflag = 'R' AND l_tax > 0.06)
+WITH strike AS (SELECT l_orderkey, l_returnflag AS reason, l_shipdate AS at FROM lineitem)
 SELECT l.l_orderkey AS user_id, l.l_partkey AS item_id, p.p_size AS type_id, r.n_name AS name, o.o_custkey AS admin_strike_id,
        s.reason AS strike_reason, strftime(s.at, '%Y-%m-%d') AS strike_date
 FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN nation r ON r.n_nationkey = p.p_size
@@ -416,7 +415,7 @@ def _(t: Tables) -> DataFrame:
         none.cast("string").alias("image_url"), none.cast("string").alias("description"),
     )
     events = t.orders.select(F.col("o_orderkey").alias("user_id"), F.lit(1).alias("session_id"), F.col("o_custkey").alias("admin_id"))
-    strikes = t.lineitem.filter("l_returnflag = 'R' and l_tax > 0.06").select(
+    strikes = t.lineitem.select(
         F.col("l_orderkey").alias("user_id"), F.col("l_returnflag").alias("reason"), F.col("l_shipdate").alias("create_ts")
     )
     mart = rentals_mart(sessions, items, types, events, strikes)

@@ -254,9 +254,9 @@ def _(t: Tables) -> DataFrame:
     return top_k(t.orders.select("o_orderkey", "o_totalprice"), [F.col("o_totalprice").desc(), F.col("o_orderkey")], 100)
 
 
-@query("capped", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1000")
+@query("capped", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey")
 def _(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey").limit(1000)
+    return t.orders.select("o_orderkey", "o_custkey").orderBy("o_orderkey")
 
 
 @query(

@@ -91,7 +91,7 @@ def _lessons(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def _diff(t: Tables) -> DataFrame:
-    return snapshot_diff(*_lessons(t), ["subject", "num"], ["place", "group"], ["events_id"])
+    return snapshot_diff(*_lessons(t), ["subject", "num"], ["place", "group"], ["events_id"], compat=True)
 
 
 @query("snapshot_diff", _LESSONS_SQL + "SELECT action, id, num, subject FROM diff")

@@ -56,8 +56,9 @@ def like_built(text: Col, part: Col, ignore_case: bool = True) -> Column:
     """``text [I]LIKE '%' || part || '%'``: wildcards inside ``part`` keep their meaning."""
     fold = F.lower if ignore_case else (lambda c: c)
     whole, piece = fold(as_col(text)), fold(as_col(part))
-    # a backslash before an ordinary character is dropped: Spark rejects it, SQL reads over it
-    pattern = F.concat(F.lit("%"), F.regexp_replace(piece, r"\\([^%_\\])", "$1"), F.lit("%"))
+    # a backslash before an ordinary character is dropped: Spark rejects it, SQL reads over it; an
+    # escaped backslash, wildcard or mark stays as it is
+    pattern = F.concat(F.lit("%"), F.regexp_replace(piece, r"(?s)(\\[%_\\])|\\(.)", "$1$2"), F.lit("%"))
     return F.when(piece.rlike(r"[%_\\]"), F.like(whole, pattern)).otherwise(F.contains(whole, piece))
 
 

@@ -21,7 +21,7 @@ def payload_array(text: Col, lenient: bool = False) -> Column:
     raw = as_col(text)
     parse = F.try_parse_json if lenient else F.parse_json
     doc = F.when(raw == "", F.parse_json(F.lit("{}"))).otherwise(parse(raw))
-    is_array = F.ltrim(raw).startswith("[")
+    is_array = raw.rlike(r"^[ \t\n\r]*\[")
     elements = F.when(is_array, F.variant_get(doc, "$", "array<variant>")).otherwise(F.array(doc))
     if lenient:
         elements = F.when(raw.isNull() | doc.isNotNull(), elements)

@@ -27,6 +27,16 @@ def _prefixed(snap: DataFrame, cols: list[str]) -> DataFrame:
     return snap.select(*[F.col(c).alias(SNAP + c) for c in cols], F.lit(True).alias(SNAP))
 
 
+def _one_per_key(snap: DataFrame, key: str) -> DataFrame:
+    """The snapshot without exact repeats; two different rows of a key are an error."""
+    rows = snap.distinct()
+    times = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    message = F.concat(F.lit("snapshot repeats key "), F.col(key).cast("string"))
+    checked = rows.join(times, F.col(key) == F.col("__key"), "left")
+    fine = F.when(F.col("__n").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return checked.filter(fine).select(*snap.columns)
+
+
 def _all_same(cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(SNAP + c)) for c in cols], F.lit(True))
 
@@ -53,7 +63,7 @@ def scd2_close(
     if compat:
         return _close_as_written(hist, snap, key, cmp_cols, ds, null_safe or [], open_only)
     closed, live = hist.filter(F.col(TO).isNotNull()), scd2_current(hist)
-    side = _prefixed(snap, list(dict.fromkeys([key, *cmp_cols])))
+    side = _prefixed(_one_per_key(snap.select(*dict.fromkeys([key, *cmp_cols])), key), list(dict.fromkeys([key, *cmp_cols])))
     on = F.col(key).eqNullSafe(F.col(SNAP + key)) & _all_same(cmp_cols)
     checked = live.join(side, on, "left")
     ended = checked.withColumn(TO, F.when(F.col(SNAP).isNull(), _day(ds))).select(*hist.columns)
@@ -76,7 +86,7 @@ def scd2_increment(
         new = _increment_as_written(hist, snap, key, ds, fill)
     else:
         live = scd2_current(hist).select(F.col(key).alias(SNAP + key))
-        waiting = snap.join(live, F.col(key).eqNullSafe(F.col(SNAP + key)), "left_anti")
+        waiting = _one_per_key(snap, key).join(live, F.col(key).eqNullSafe(F.col(SNAP + key)), "left_anti")
         new = _as_versions(hist, waiting, ds, fill)
     return hist.unionByName(new)
 
@@ -99,7 +109,7 @@ def scd2_apply(
     closed, live = hist.filter(F.col(TO).isNotNull()), scd2_current(hist)
     fill = fill or {}
     from_snap = [c for c in hist.columns if c in snap.columns and c not in (FROM, TO)]
-    side = _prefixed(snap, from_snap)
+    side = _prefixed(_one_per_key(snap.select(*from_snap), key), from_snap)
     joined = live.withColumn("__live", F.lit(True)).join(
         side, F.col(key).eqNullSafe(F.col(SNAP + key)), "full_outer"
     )

@@ -27,26 +27,38 @@ class Element:
         self.name, self.attrs, self.children = name, attrs, []
 
     def below(self) -> Iterator[Element]:
-        for child in self.children:
-            if isinstance(child, Element):
-                yield child
-                yield from child.below()
+        return (e for e, inside in self._walk() if isinstance(e, Element) and inside)
+
+    def _walk(self) -> Iterator[tuple[Element | str, bool]]:
+        """What stands below, in order: texts and elements where they begin, elements again where they end (False)."""
+        waiting = [(child, True) for child in reversed(self.children)]
+        while waiting:
+            node, begins = waiting.pop()
+            yield node, begins
+            if begins and isinstance(node, Element):
+                waiting.append((node, False))
+                waiting += [(child, True) for child in reversed(node.children)]
 
     def cells(self, kind: str) -> list[Element]:
         return [e for e in self.below() if e.name == "td" and kind in (dict(e.attrs).get("class") or "").split()]
 
     def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
-
-    def markup(self) -> str:
-        attrs = "".join(f' {k}="{escape(v or "", quote=False)}"' for k, v in self.attrs)
-        if self.name in VOID:
-            return f"<{self.name}{attrs}/>"
-        inner = "".join(escape(c, quote=False) if isinstance(c, str) else c.markup() for c in self.children)
-        return f"<{self.name}{attrs}>{inner}</{self.name}>"
+        return "".join(node for node, _ in self._walk() if isinstance(node, str))
 
     def inside(self) -> str:
-        return "".join(c if isinstance(c, str) else c.markup() for c in self.children)
+        """Markup of what stands below; texts directly below are not escaped."""
+        out, depth = [], 0
+        for node, begins in self._walk():
+            if isinstance(node, str):
+                out.append(escape(node, quote=False) if depth else node)
+                continue
+            depth += 1 if begins else -1
+            if begins:
+                attrs = "".join(f' {k}="{escape(v or "", quote=False)}"' for k, v in node.attrs)
+                out.append(f"<{node.name}{attrs}/>" if node.name in VOID else f"<{node.name}{attrs}>")
+            elif node.name not in VOID:
+                out.append(f"</{node.name}>")
+        return "".join(out)
 
 
 class PageTree(HTMLParser):

@@ -48,7 +48,8 @@ def unique_source(source: DataFrame, keys: list[str], order_by: list[Column] | N
         F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(1).alias("__one"), *rest)).alias("__row")
     )
     message = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*keys)))
-    checked = grouped.withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message)))
+    # in a filter, so that no column pruning drops the check
+    checked = grouped.filter(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     return checked.select(*[c if c in keys else F.col("__row")[c].alias(c) for c in source.columns])
 
 
@@ -78,16 +79,18 @@ def merge_conditional(
     """MERGE with conditions on the source row.
 
     ``update`` maps a column to a function of (old value, new value).  ``matched_if`` and
-    ``insert_if`` get a function that looks up a source column.
+    ``insert_if`` get a function that looks up a source column.  A target row that several source
+    rows would update is an error.
     """
     fresh = source.select(*target.columns)
     known, unknown = split_null_keys(fresh, keys)
-    new_side = known.select(*keys, *[F.col(c).alias(SRC + c) for c in update], F.lit(True).alias(SRC))
-    if matched_if is not None:
-        new_side = known.filter(matched_if(F.col)).select(
-            *keys, *[F.col(c).alias(SRC + c) for c in update], F.lit(True).alias(SRC)
-        )
+    hits = known if matched_if is None else known.filter(matched_if(F.col))
+    times = hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    new_side = hits.select(*keys, *[F.col(c).alias(SRC + c) for c in update], F.lit(True).alias(SRC))
+    new_side = new_side.join(times, keys, "left")
+    message = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*keys)))
     joined = target.join(new_side, keys, "left")
+    joined = joined.filter(F.when(F.col("__n").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     updated = joined.select(
         *[
             F.when(F.col(SRC), update[c](F.col(c), F.col(SRC + c))).otherwise(F.col(c)).alias(c)
@@ -127,8 +130,12 @@ def update_from(
     set_exprs: dict[str, Callable[[Column, Column], Column]],
     where: Column | None = None,
 ) -> DataFrame:
-    """UPDATE ... FROM: matching rows (and ``where``, on target columns) change, others stay."""
+    """UPDATE ... FROM: matching rows (and ``where``, on target columns) change, others stay.
+
+    Of several source rows of a key the one whose new values sort first is taken.
+    """
     known, _ = split_null_keys(source, keys)
+    known = unique_source(known.select(*keys, *set_exprs), keys, [F.col(c) for c in set_exprs])
     side = known.select(*keys, *[F.col(c).alias(SRC + c) for c in set_exprs], F.lit(True).alias(SRC))
     applies = F.col(SRC) if where is None else F.col(SRC) & where
     return target.join(side, keys, "left").select(

@@ -39,7 +39,7 @@ def schema_drift(
     )
 
 
-def table_sizes(spark: SparkSession, paths: dict[tuple[str, str], str], ds: str, top: int = 100_000) -> DataFrame:
+def table_sizes(spark: SparkSession, paths: dict[tuple[str, str], str], ds: str) -> DataFrame:
     """Dated size report, largest tables first.
 
     Sizes come from one row per file with the contents never read.  Parquet has no index
@@ -59,7 +59,6 @@ def table_sizes(spark: SparkSession, paths: dict[tuple[str, str], str], ds: str,
     megabytes = F.expr("bytes div (1024 * 1024)")
     return (
         per_table.orderBy(F.col("bytes").desc(), "table_schema", "table_name")
-        .limit(top)
         .select(
             F.lit(int(ds.replace("-", ""))).alias("id"),
             "table_name",

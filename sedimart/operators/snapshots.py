@@ -14,14 +14,15 @@ from sedimart.operators.ranking import best_per_group
 def page_diff(new: DataFrame, old: DataFrame, key: str, body: str) -> DataFrame:
     """Keys that were added, removed or have another body.
 
-    Only a digest of each body is shuffled, never the body.
+    Only a digest of each body is shuffled, never the body.  A key of both sides with an unknown
+    body on either side counts as changed.
     """
-    side = lambda df, p: df.select(F.col(key).alias(f"{p}_key"), F.sha2(F.col(body), 256).alias(f"{p}_sum"))
+    side = lambda df, p: df.select(F.col(key).alias(f"{p}_key"), F.sha2(F.col(body), 256).alias(f"{p}_sum"), F.lit(True).alias(f"{p}_in"))
     both = side(new, "n").join(side(old, "o"), F.col("n_key") == F.col("o_key"), "full_outer")
     change = (
-        F.when(F.col("o_sum").isNull(), "added")
-        .when(F.col("n_sum").isNull(), "removed")
-        .when(F.col("n_sum") != F.col("o_sum"), "changed")
+        F.when(F.col("o_in").isNull(), "added")
+        .when(F.col("n_in").isNull(), "removed")
+        .when(F.coalesce(F.col("n_sum") != F.col("o_sum"), F.lit(True)), "changed")
     )
     return both.select(F.coalesce("n_key", "o_key").alias(key), change.alias("change")).filter("change is not null")
 
@@ -33,21 +34,23 @@ def missing_pages(pages: DataFrame, expected: DataFrame, key: str = "url") -> Da
 
 def require_pages(pages: DataFrame, expected: DataFrame, key: str = "url") -> DataFrame:
     """The pages, or an error if an expected one is missing."""
-    lacking = [r[0] for r in missing_pages(pages, expected, key).limit(5).collect()]
+    lacking = missing_pages(pages, expected, key).count()
     if lacking:
-        raise ValueError(f"pages missing from the landing table, among them {lacking}")
+        raise ValueError(f"{lacking} pages are missing from the landing table; missing_pages names them")
     return pages
 
 
 def snapshot_diff(
-    old: DataFrame, new: DataFrame, keys: list[str], array_keys: list[str], carried: list[str], id_col: str = "id"
+    old: DataFrame, new: DataFrame, keys: list[str], array_keys: list[str], carried: list[str], id_col: str = "id",
+    compat: bool = False,
 ) -> DataFrame:
     """What to remember, create and delete between two snapshots.
 
     Rows are the same if all keys are equal and all arrays are equal as sets.  Values come from
     the old row first, the id from the new one.  Arrays are compared by their sorted distinct
     form, so the join stays an equality join; a row with a NULL key can match nothing and is
-    kept out of it.
+    kept out of it.  ``compat=True`` tells created from deleted rows by their first key, as the
+    warehouse does, so a deleted row without it counts as created.
     """
 
     def side(df: DataFrame, p: str) -> DataFrame:
@@ -69,8 +72,8 @@ def snapshot_diff(
     both = met.unionByName(alone)
     action = (
         F.when(F.col("l_in") & F.col("r_in"), "remember")
-        .when(F.col(f"l_{keys[0]}").isNull(), "create")
-        .when(F.col(f"r_{keys[0]}").isNull(), "delete")
+        .when(F.col(f"l_{keys[0]}").isNull() if compat else F.col("l_in").isNull(), "create")
+        .when(F.col(f"r_{keys[0]}").isNull() if compat else F.col("r_in").isNull(), "delete")
     )
     return both.select(
         *[F.coalesce(f"l_{c}", f"r_{c}").alias(c) for c in [*keys, *array_keys, *carried]],

@@ -89,13 +89,12 @@ def action_tables(actions: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def frontend_actions_services(actions: DataFrame, buttons: DataFrame, limit: int | None = None) -> DataFrame:
+def frontend_actions_services(actions: DataFrame, buttons: DataFrame) -> DataFrame:
     """Front-end actions that lead to an app, with the services they came from and went to."""
     to_apps = actions.filter(F.ilike("path_to", F.lit("%apps%")))
     named = path_key_join(to_apps, "path_to", buttons, "id", "name", "service_to_name")
     named = path_key_join(named, "path_from", buttons, "id", "name", "service_from_name")
-    out = named.select(
+    return named.select(
         "uuid", "user_id", "action", "path_from", "path_to", "user_agent", "is_bot", "create_ts",
         "service_from_name", "service_to_name",
     )
-    return out if limit is None else out.limit(limit)

@@ -27,11 +27,10 @@ TABLES = {
 }
 
 
-def ods_table(name: str, raw: DataFrame, limit: int | None = None) -> DataFrame:
+def ods_table(name: str, raw: DataFrame) -> DataFrame:
     """Typed full refresh of one rental table; the uuid follows the id, so reloads keep it."""
     cols = [shift_zone(c).alias(c) if kind == "ts" else F.col(c) for c, kind in TABLES[name].items()]
-    out = raw.select(stable_id("id").alias("uuid"), F.col("id").alias("api_id"), *cols)
-    return out if limit is None else out.limit(limit)
+    return raw.select(stable_id("id").alias("uuid"), F.col("id").alias("api_id"), *cols)
 
 
 def dwh_table(name: str, hist: DataFrame, snap: DataFrame, ds: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sedimart.operators.ranking import best_per_group
+
 
 def generate_keys(users: DataFrame, keys: DataFrame, id_col: str = "id") -> DataFrame:
     """Existing keys unchanged, one new random 128-bit key (base64) per user without a key.
@@ -22,11 +24,16 @@ def mirror_encrypted(
 ) -> DataFrame:
     """Rows whose owner has a key, the listed columns encrypted with it; one row per ``id_col``.
 
+    Of rows of one id only those with a key count; of these the one of the smallest owner stays,
+    then the one whose columns sort first.
+
     Each owner has one key, so a hot owner only meets one row of the key table: Spark may
     broadcast the keys if they are small, else the adaptive skew join splits the hot owner.
     """
     owner_key = keys.select(F.col("id").alias("__owner"), F.unbase64("key").alias("__key"))
-    joined = src.dropDuplicates([id_col]).join(owner_key, F.col(owner_col) == F.col("__owner"))
+    keyed = src.join(owner_key, F.col(owner_col) == F.col("__owner"))
+    rest = [F.col(f.name) for f in src.schema.fields if f.name not in (id_col, owner_col)]
+    joined = best_per_group(keyed, [id_col], [F.col(owner_col), *rest])
     sealed = {c: F.aes_encrypt(F.col(c).cast("string"), F.col("__key")) for c in encrypt_cols}
     return joined.withColumns(sealed).select(*src.columns)
 

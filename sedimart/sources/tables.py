@@ -61,15 +61,15 @@ def replace_slice(target: DataFrame, df: DataFrame, slice_col: str, value: str)
     return other.unionByName(df.withColumn(slice_col, F.lit(value)).select(*target.columns))
 
 
-def write_slice(df: DataFrame, path: str, slice_col: str) -> None:
-    """Replace only the partitions that ``df`` holds in a table partitioned by ``slice_col``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_col).parquet(path)
+def write_slice(df: DataFrame, path: str, slice_col: str, value: str) -> None:
+    """Replace the slice ``value`` of a table partitioned by ``slice_col``; no rows leave it empty."""
+    df.drop(slice_col).write.mode("overwrite").parquet(f"{path}/{slice_col}={value}")
 
 
 def append_snapshot(df: DataFrame, path: str, ds: str, date_col: str = "state_dt") -> DataFrame:
     """Add the snapshot of day ``ds``; a rerun of the same day replaces it instead of doubling it."""
-    write_slice(df.withColumn(date_col, F.lit(ds).cast("date")), path, date_col)
-    return df.sparkSession.read.parquet(path)
+    write_slice(df, path, date_col, ds)
+    return df.sparkSession.read.parquet(path).withColumn(date_col, F.col(date_col).cast("date"))
 
 
 def retain(df: DataFrame, ts_col: str, as_of: str | datetime.datetime, days: int = 3) -> DataFrame:
