@@ -141,7 +141,8 @@ class Join:
         self.rows = stage(docs.mapInArrow(_described(n), kinds), "described")
         one = [F.first(c).alias(c) for c in ("size", *(f"level{i}" for i in range(LEVELS)))]
         self.nodes = stage(self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one), "nodes")
-        self.prefixes = stage(self._prefixes(docs), "prefixes")
+        self.shown = stage(self._prefixes(docs), "prefixes")
+        self.prefixes = self.shown.select(F.explode("tokens").alias("token"), "node", "size")
         met = self.prefixes.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
         wanted = self.prefixes.join(met, "token").select("node").distinct()
         keys = wanted.join(self.nodes, "node").select("key").distinct()
@@ -151,7 +152,7 @@ class Join:
         self.links: DataFrame | None = None
 
     def _prefixes(self, docs: DataFrame) -> DataFrame:
-        """(token, node, size, second, third): prefixes under the first order, rare tokens before frequent ones.
+        """(node, size, tokens, second, third): prefixes under the first order, rare tokens before frequent ones.
 
         Tokens of one set only can't meet another and are left out; they take the first places of
         their level. What is left of a set is sorted by (level, frequency, token).
@@ -170,16 +171,14 @@ class Join:
             room = need - before - (F.col(f"level{i}").cast("int") - F.size(own))
             parts.append(F.slice(own, 1, F.greatest(F.lit(0), room)))
             before = before + F.col(f"level{i}").cast("int")
-        marked = lambda c: F.transform(F.filter("tokens", lambda t: t[c]), lambda t: t["token"]).alias(c)
-        picked = tokens.select("node", "size", F.explode(F.concat(*parts)).alias("t"), marked("second"), marked("third"))
-        return picked.select("t.token", "node", "size", "second", "third")
+        marked = lambda c: F.filter("tokens", lambda t: t[c])["token"].alias(c)
+        return tokens.select("node", "size", F.concat(*parts)["token"].alias("tokens"), marked("second"), marked("third"))
 
     def _labelled(self) -> DataFrame:
-        narrow = self.prefixes.select("token", "node", "size")
         if self.links is None:
-            return narrow.withColumn("label", F.col("node"))
+            return self.prefixes.withColumn("label", F.col("node"))
         labels = stage(components(self.links), "labels")
-        return narrow.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return self.prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     def _fit(self, x: Column, y: Column) -> Column:
         """Sizes of which neither is too small beside the other."""
@@ -189,7 +188,7 @@ class Join:
         """Verify the pairs (a, b) on their whole sets and keep those that link."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # the other orders: both must share a token of the prefix under each of them
-        marks = self.prefixes.select("node", "second", "third").dropDuplicates(["node"])
+        marks = self.shown.select("node", "second", "third")
         for side in "ab":
             pairs = pairs.join(marks.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("second", "third")]), side)
         pairs = pairs.filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
