@@ -42,9 +42,12 @@ with texts as (
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
          regexp_replace(text, '[^A-Z]', '', 'g') as upper, regexp_replace(text, '[^#*$%&|<>]', '', 'g') as symbols, regexp_replace(text, '[^!]', '', 'g') as exclaims
   from texts
+), tokens as (
+  select row, unnest(words) as w, generate_subscripts(words, 1) as i from cut
+), triples as (
+  select row, i, w, lead(w, 1) over own as x, lead(w, 2) over own as y from tokens window own as (partition by row order by i)
 ), windows as (
-  select row, i, count(*) over (partition by row, words[i], words[i + 1], words[i + 2]) as times
-  from (select row, words, unnest(generate_series(1, len(words) - 2)) as i from cut)
+  select row, i, count(*) over (partition by row, w, x, y) as times from triples where y is not null
 ), repeated as (
   select row, count(distinct i + d) as n from windows, (values (0), (1), (2)) as t(d) where times > 1 group by row
 ), counted as (
