@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +10,7 @@ from sedimart.catalog.registry import Tables, cents, day, moment, query
 from sedimart.functions.columns import shift_zone
 from sedimart.operators.merge import insert_ignore, update_from, upsert
 from sedimart.plans.infra import incident_history, log_cube, merge_log_cube
-from sedimart.session import materialize
+from sedimart.session import materialize, shared_folder
 from sedimart.sources.tables import append_snapshot, full_refresh, replace_slice, retain, rotate_snapshot
 
 FIRST_LOG, SECOND_LOG = "ts < timestamp '2024-01-20'", "ts >= timestamp '2024-01-10'"
@@ -206,47 +206,44 @@ def _(t: Tables) -> DataFrame:
     return t.events.select("event_id", moment(shift_zone("ts")).alias("moscow"))
 
 
-@query("full_refresh", "SELECT n_nationkey, n_name, n_regionkey + 1 AS n_regionkey FROM nation")
+@query("full_refresh", "SELECT o_orderkey, o_orderstatus, o_custkey + 1 AS o_custkey FROM orders")
 def _(t: Tables) -> DataFrame:
     root = scratch(t, "full-refresh")
-    full_refresh(t.nation, root)
-    stored = full_refresh(t.nation, root)
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_custkey")
+    full_refresh(rows, root)
+    stored = full_refresh(rows, root)
     # the table is replaced by what is computed from it
-    return full_refresh(stored.withColumn("n_regionkey", F.col("n_regionkey") + 1), root)
+    return full_refresh(stored.withColumn("o_custkey", F.col("o_custkey") + 1), root)
 
 
 @query(
     "append_snapshot",
     """
-SELECT r_regionkey, r_name, '2024-01-01' AS state_dt FROM region UNION ALL SELECT r_regionkey, r_name, '2024-01-02' FROM region""",
+SELECT s_suppkey, s_name, '2024-01-01' AS state_dt FROM supplier UNION ALL SELECT s_suppkey, s_name, '2024-01-02' FROM supplier""",
 )
 def _(t: Tables) -> DataFrame:
     path = scratch(t, "snapshots")
-    append_snapshot(t.region, path, "2024-01-01")
-    append_snapshot(t.region, path, "2024-01-02")
-    return append_snapshot(t.region, path, "2024-01-02").withColumn("state_dt", day("state_dt"))
+    rows = t.supplier.select("s_suppkey", "s_name")
+    append_snapshot(rows, path, "2024-01-01")
+    append_snapshot(rows, path, "2024-01-02")
+    return append_snapshot(rows, path, "2024-01-02").withColumn("state_dt", day("state_dt"))
 
 
 @query(
     "rotate_snapshot",
     """
-SELECT 'current' AS side, n_nationkey, n_name FROM nation WHERE n_regionkey > 0
-UNION ALL SELECT 'previous', n_nationkey, n_name FROM nation""",
+SELECT 'current' AS side, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'previous', o_orderkey, o_totalprice FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
     root = scratch(t, "rotation")
-    rows = t.nation.select("n_nationkey", "n_name")
-    rotate_snapshot(rows, root)
-    current, previous = rotate_snapshot(t.nation.filter("n_regionkey > 0").select("n_nationkey", "n_name"), root)
+    rotate_snapshot(t.orders.select("o_orderkey", "o_totalprice"), root)
+    settled = t.orders.filter("o_orderstatus <> 'P'").select("o_orderkey", "o_totalprice")
+    current, previous = rotate_snapshot(settled, root)
     both = current.withColumn("side", F.lit("current")).unionByName(previous.withColumn("side", F.lit("previous")))
-    return both.select("side", "n_nationkey", "n_name")
+    return both.select("side", "o_orderkey", "o_totalprice")
 
 
 def scratch(t: Tables, name: str) -> str:
-    """A fresh folder for a query that writes: below the cluster's checkpoint folder if it names one."""
-    base = t.spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not t.spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="sedimart-scratch-")
-    return f"{base}/{name}-{t.spark.sql('select uuid()').first()[0]}"
+    """A fresh folder for a query that writes, below the cluster's shared one."""
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"

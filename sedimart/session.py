@@ -62,18 +62,5 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back with a short lineage.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``.  Only a local master
-    may fall back to a temporary folder: on a cluster the other machines could not read it.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="sedimart-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """``stage`` for what a mart computes once and reads more than once."""
+    return stage(df, "materialized")

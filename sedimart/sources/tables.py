@@ -3,7 +3,7 @@
 Plain Parquet has no MERGE, and a path cannot be overwritten while it is read.  So a table that
 is replaced lives in versioned folders ``root/v=N``: a write adds the next version, readers take
 the newest one that carries a ``_SUCCESS`` mark.  A job that dies half way leaves the newest
-complete version in force.
+complete version in force.  The newest two versions stay; older ones go with the next write.
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# a reader of the version before the newest one, and a rotation, need two
+KEPT = 2
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions of a table, oldest first (a listing of one folder, no data is read)."""
     jvm = spark.sparkContext._jvm
@@ -45,9 +49,17 @@ def full_refresh(df: DataFrame, root: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
+    _drop_versions(spark, root, versions(spark, root)[:-KEPT])
     return spark.read.parquet(target)
 
 
+def _drop_versions(spark: SparkSession, root: str, old: list[int]) -> None:
+    jvm = spark.sparkContext._jvm
+    for version in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def rotate_snapshot(df: DataFrame, root: str) -> tuple[DataFrame, DataFrame | None]:
     """Current becomes previous, ``df`` becomes current; returns (current, previous)."""
     current = full_refresh(df, root)

@@ -13,7 +13,7 @@ from sedimart.operators.html import html_lessons, page_lessons
 from sedimart.operators.merge import merge_conditional, update_from, upsert
 from sedimart.operators.snapshots import page_diff, snapshot_diff
 from sedimart.sources.crypto import decrypt, mirror_encrypted
-from sedimart.sources.tables import append_snapshot
+from sedimart.sources.tables import append_snapshot, full_refresh, read_version, versions
 
 KV = "k int, v string"
 HIST = "k int, v string, valid_from_dt date, valid_to_dt date"
@@ -91,3 +91,11 @@ def test_deeply_nested_pages_do_not_end_the_job(spark):
     pages = spark.createDataFrame([("u", deep)], "url string, raw_html string")
     good, bad = html_lessons(pages, on_error="reject")
     assert good.count() == 0 and bad.count() == 0
+
+
+def test_a_third_refresh_leaves_two_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (1, 2, 3):
+        full_refresh(spark.range(n), root)
+    assert versions(spark, root) == [2, 3]
+    assert [read_version(spark, root, back).count() for back in (0, 1)] == [3, 2]
