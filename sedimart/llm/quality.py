@@ -49,7 +49,7 @@ def measures(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: st
     none. A measure with nothing to divide by is 0.
     """
     body = df.select(F.col(key).alias("key"), F.col(stratum).cast("string").alias("stratum"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = lambda line: F.trim(F.lit(" \t\n\x0b\x0c\r"), line) != ""
+    seen = lambda line: F.trim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
     body = body.select(
         "key", "stratum",
         F.array_remove(F.split("text", SPACE), "").alias("words"),
