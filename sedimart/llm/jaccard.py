@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import operator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,9 @@ WORDS, PERCENT = 5, 80
 LEVELS = 4
 #: Rounds in which every token's texts are held against one of them, before all pairs that are left.
 PIVOTS = 4
+#: Words of 64 bits in a set's signature.
+SIGNATURE = 4
+SIGNED = [f"sign{i}" for i in range(SIGNATURE)]
 TOGETHER = 100
 
 
@@ -41,12 +46,19 @@ def _digest(shingles: np.ndarray) -> int:
     return int(mix(mix(shingles, 2).sum(keepdims=True) + np.uint64(len(shingles))).view(np.int64)[0])
 
 
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    """Bits that each token flips one of: sets that differ in d tokens differ in d bits at most."""
+    flips = np.bincount((mix(shingles, 8) % np.uint64(64 * SIGNATURE)).astype(np.int64), minlength=64 * SIGNATURE)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+
+
 def _described(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, n):
             levels = np.array([np.bincount(_levels(s), minlength=LEVELS) for s in sets]).reshape(-1, LEVELS)
+            signs = np.array([_signature(s) for s in sets]).reshape(-1, SIGNATURE)
             node = pa.array([_digest(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_pydict({"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": node} | {f"level{i}": levels[:, i] for i in range(LEVELS)})
+            yield pa.RecordBatch.from_pydict({"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": node} | {f"level{i}": levels[:, i] for i in range(LEVELS)} | {c: signs[:, i] for i, c in enumerate(SIGNED)})
 
     return run
 
@@ -137,12 +149,12 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int):
         """``docs`` has key and text."""
         self.n, self.percent = n, percent
-        kinds = "key long, size long, node long" + "".join(f", level{i} long" for i in range(LEVELS))
+        kinds = "key long, size long, node long" + "".join(f", level{i} long" for i in range(LEVELS)) + "".join(f", {c} long" for c in SIGNED)
         self.rows = stage(docs.mapInArrow(_described(n), kinds), "described")
-        one = [F.first(c).alias(c) for c in ("size", *(f"level{i}" for i in range(LEVELS)))]
+        one = [F.first(c).alias(c) for c in ("size", *(f"level{i}" for i in range(LEVELS)), *SIGNED)]
         self.nodes = stage(self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one), "nodes")
         self.shown = stage(self._prefixes(docs), "prefixes")
-        self.prefixes = self.shown.select(F.explode("tokens").alias("token"), "node", "size")
+        self.prefixes = self.shown.select(F.explode("tokens").alias("token"), "node", "size", *SIGNED)
         met = self.prefixes.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
         wanted = self.prefixes.join(met, "token").select("node").distinct()
         keys = wanted.join(self.nodes, "node").select("key").distinct()
@@ -152,7 +164,7 @@ class Join:
         self.links: DataFrame | None = None
 
     def _prefixes(self, docs: DataFrame) -> DataFrame:
-        """(node, size, tokens, second, third): prefixes under the first order, rare tokens before frequent ones.
+        """(node, size, signature, tokens, second, third): prefixes under the first order, rare tokens before frequent ones.
 
         Tokens of one set only can't meet another and are left out; they take the first places of
         their level. What is left of a set is sorted by (level, frequency, token).
@@ -172,7 +184,7 @@ class Join:
             parts.append(F.slice(own, 1, F.greatest(F.lit(0), room)))
             before = before + F.col(f"level{i}").cast("int")
         marked = lambda c: F.filter("tokens", lambda t: t[c])["token"].alias(c)
-        return tokens.select("node", "size", F.concat(*parts)["token"].alias("tokens"), marked("second"), marked("third"))
+        return tokens.select("node", "size", *SIGNED, F.concat(*parts)["token"].alias("tokens"), marked("second"), marked("third"))
 
     def _labelled(self) -> DataFrame:
         if self.links is None:
@@ -180,9 +192,17 @@ class Join:
         labels = stage(components(self.links), "labels")
         return self.prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    def _fit(self, x: Column, y: Column) -> Column:
-        """Sizes of which neither is too small beside the other."""
-        return (100 * x >= self.percent * y) & (100 * y >= self.percent * x)
+    def _fit(self, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        """Whether sizes and signatures allow the two sets to link.
+
+        Neither size may be too small beside the other. Sets that link differ in at most
+        (100 - percent) / (100 + percent) of the sum of their sizes, and in no fewer tokens than
+        their signatures in bits.
+        """
+        x, y = a("size"), b("size")
+        bits = [F.bit_count(a(c).bitwiseXOR(b(c))) for c in SIGNED]
+        near = (100 + self.percent) * functools.reduce(operator.add, bits) <= (100 - self.percent) * (x + y)
+        return (100 * x >= self.percent * y) & (100 * y >= self.percent * x) & near
 
     def _add(self, pairs: DataFrame) -> None:
         """Verify the pairs (a, b) on their whole sets and keep those that link."""
@@ -202,9 +222,9 @@ class Join:
         labelled = stage(self._labelled(), "labelled")
         wanted = []
         for i in rounds:
-            picked = F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "size", "label")).alias("p")
+            picked = F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "size", "label", *SIGNED)).alias("p")
             pivots = labelled.groupBy("token").agg(picked, F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("token", "p")
-            met = labelled.join(pivots, "token").filter((F.col("label") != F.col("p.label")) & self._fit(F.col("size"), F.col("p.size")))
+            met = labelled.join(pivots, "token").filter((F.col("label") != F.col("p.label")) & self._fit(F.col, lambda c: F.col(f"p.{c}")))
             wanted.append(met.select(F.col("node").alias("a"), F.col("p.node").alias("b")))
         pairs = wanted[0]
         for more in wanted[1:]:
@@ -216,8 +236,8 @@ class Join:
         labelled = stage(self._labelled(), "labelled")
         split = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("token")
         left = labelled.join(split, "token")
-        right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")])
-        met = left.join(right, "token").filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & self._fit(F.col("size"), F.col("size_b")))
+        right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label", *SIGNED)])
+        met = left.join(right, "token").filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & self._fit(F.col, lambda c: F.col(f"{c}_b")))
         self._add(met.select(F.col("node").alias("a"), F.col("node_b").alias("b")))
 
 
@@ -241,7 +261,8 @@ def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     under two more orders by hash. A token that many sets show would make all pairs of them, so
     they are first held against pivots; sets that links have joined by then are not paired again,
     and the last pass pairs whatever still lies in different groups, so no link between groups is
-    lost. Every candidate is verified on the whole sets. Tokens are 64-bit hashes, as are nodes.
+    lost. Before a pair is made, sizes and signatures of 256 bits must allow a link; this loses none.
+    Every candidate is verified on the whole sets. Tokens are 64-bit hashes, as are nodes.
 
     Null and empty texts have no words. Rows of one key are rows of their own; null keys do not
     count as smallest, unless a group has no other. Other columns are not read. An empty table gives
