@@ -199,6 +199,16 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 for i in range(41)} | {99: 99, 100: 99}
 
 
+def test_signatures_differ_in_no_more_bits_than_tokens():
+    rng = np.random.default_rng(4)
+    for common, own in ((0, 3), (5, 1), (100, 20), (400, 300)):
+        both = rng.integers(0, 2**63, common).astype(np.uint64)
+        a, b = (np.concatenate([both, rng.integers(0, 2**63, own).astype(np.uint64)]) for _ in "ab")
+        bits = sum(int(x).bit_count() for x in (jaccard._signature(a) ^ jaccard._signature(b)).view(np.uint64))
+        assert bits <= 2 * own
+        assert not (jaccard._signature(a) ^ jaccard._signature(a[::-1])).any()
+
+
 def test_shingles_are_words_in_a_row():
     one, two = shingle_sets([b"a b c d e f", b"A  b\tc d\ne f"])
     assert (one == two).all() and len(one) == 2 and [len(s) for s in shingle_sets([b"", b" ", b"x", b"a b c d"])] == [0, 0, 1, 1]
