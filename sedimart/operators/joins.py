@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sedimart.functions.columns import array_key, as_col, like_built, path_tail
 
@@ -116,9 +116,10 @@ def path_key_join(left: DataFrame, path_col: str, right: DataFrame, id_col: str,
 
 def latest_version_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, version_col: str) -> DataFrame:
     """Inner join with the right rows of the newest version per key."""
-    newest = right.groupBy(F.col(right_key).alias("__key")).agg(F.max(version_col).alias("__newest"))
-    last = right.join(newest, (F.col(right_key) == F.col("__key")) & (F.col(version_col) == F.col("__newest")))
-    return left.join(last.drop("__key", "__newest"), F.col(left_key) == F.col(right_key))
+    dated = right.filter(F.col(right_key).isNotNull() & F.col(version_col).isNotNull())
+    place = F.rank().over(Window.partitionBy(right_key).orderBy(F.desc(version_col)))
+    last = dated.withColumn("__place", place).filter("__place = 1").drop("__place")
+    return left.join(last, F.col(left_key) == F.col(right_key))
 
 
 def equal_any(value: Column | str, options: Column) -> Column:
