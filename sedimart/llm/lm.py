@@ -20,8 +20,10 @@ HEADS, TAILS, SUFFIX = 255, 64, 3
 KNOWN_WORDS = 150_000
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
-#: The network: classes before a token that it sees, size of the vectors, noise tokens, and tokens that it learns from.
-CONTEXT, WIDTH, NOISE, SAMPLE_TOKENS, EPOCHS, BATCH, SEED = 3, 16, 64, 400_000, 3, 256, 11
+#: The network: classes before a token that it sees, size of the vectors, and noise tokens.
+CONTEXT, WIDTH, NOISE, EPOCHS, BATCH, SEED = 3, 16, 64, 3, 256, 11
+#: Tokens that a task trains on at least, if the table has them; and after so many a block of whole texts ends.
+TASK_TOKENS, BLOCK = 400_000, 50_000
 #: Tokens whose classes are normalised together.
 TOGETHER = 4096
 END = b""
@@ -41,11 +43,20 @@ class LogBilinear:
 
     def __init__(self, classes: int, shares: np.ndarray, seed: int = SEED):
         draw = np.random.default_rng(seed)
-        self.classes = classes
-        # the last row stands for the start of a text
-        self.into = (draw.standard_normal((CONTEXT, classes + 1, WIDTH)) * 0.1).astype(np.float32)
-        self.out = (draw.standard_normal((classes, WIDTH)) * 0.1).astype(np.float32)
-        self.bias = np.log(shares).astype(np.float32)
+        self.classes, self.shares = classes, shares
+        self.prior = np.log(NOISE * shares).astype(np.float32)
+        # the last row of each of the first stands for the start of a text
+        sizes = [CONTEXT * (classes + 1) * WIDTH, classes * WIDTH, classes]
+        self._splits, total = np.cumsum(sizes)[:-1], sum(sizes)
+        first = [draw.standard_normal(n) * 0.1 for n in sizes[:2]]
+        self.load(np.concatenate([*first, np.log(shares), np.full(total, 1e-2)]))
+
+    def load(self, state: np.ndarray) -> None:
+        """Take over weights and sums of squared slopes, in one row as in ``state``."""
+        self.state = state.astype(np.float32)
+        self.weights, self.squares = np.split(self.state, 2)
+        into, out, self.bias = np.split(self.weights, self._splits)
+        self.into, self.out = into.reshape(CONTEXT, self.classes + 1, WIDTH), out.reshape(self.classes, WIDTH)
 
     def contexts(self, ids: np.ndarray) -> np.ndarray:
         """[tokens, CONTEXT]: the classes before each token of one text, nearest first."""
@@ -55,33 +66,36 @@ class LogBilinear:
     def predict(self, contexts: np.ndarray) -> np.ndarray:
         return sum(self.into[i][contexts[:, i]] for i in range(CONTEXT))
 
-    def fit(self, contexts: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> LogBilinear:
+    def learn_once(self, contexts: np.ndarray, targets: np.ndarray, draw: np.random.Generator) -> None:
         """Noise-contrastive estimation: tell each token from NOISE ones drawn by the classes' shares; Adagrad."""
+        order, prior, inner = draw.permutation(len(targets)), self.prior, np.arange(WIDTH)
+        # weights of the vectors' first components, to which a token's slopes are added
+        before = (contexts + np.arange(CONTEXT) * (self.classes + 1)) * WIDTH
+        own = self._splits[0] + targets * WIDTH
+        drawn = draw.choice(self.classes, (-(-len(order) // BATCH), NOISE), p=self.shares)
+        for at, noise in zip(range(0, len(order), BATCH), drawn, strict=True):
+            rows = order[at : at + BATCH]
+            right = targets[rows]
+            vector, out = self.predict(contexts[rows]), self.out[noise]
+            logit = (vector * self.out[right]).sum(1) + self.bias[right] - prior[right]
+            logits = vector @ out.T + self.bias[noise] - prior[noise]
+            d_right = 1 / (1 + np.exp(-logit)) - 1
+            d_noise = 1 / (1 + np.exp(-logits))
+            d_vector = d_right[:, None] * self.out[right] + d_noise @ out
+            places = np.concatenate([before[rows].ravel(), own[rows], self._splits[0] + noise * WIDTH])
+            slopes = np.concatenate([np.repeat(d_vector, CONTEXT, axis=0), d_right[:, None] * vector, d_noise.T @ vector])
+            places = np.concatenate([(places[:, None] + inner).ravel(), self._splits[1] + right, self._splits[1] + noise])
+            slopes = np.concatenate([slopes.ravel(), d_right, d_noise.sum(0)])
+            slope = np.bincount(places, slopes, len(self.weights)).astype(np.float32) / np.float32(len(rows))
+            self.squares += slope**2
+            self.weights -= np.float32(0.1) * slope / np.sqrt(self.squares)
+
+    def fit(self, contexts: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> LogBilinear:
+        """Train on tokens that are all at hand, in EPOCHS rounds; ``shares`` are those of the noise."""
         draw = np.random.default_rng(SEED)
-        prior = np.log(NOISE * shares).astype(np.float32)
-        squares = [np.full(w.shape, 1e-2, np.float32) for w in (self.into, self.out, self.bias)]
-        for _, order in ((e, draw.permutation(len(targets))) for e in range(EPOCHS)):
-            for at in range(0, len(order), BATCH):
-                rows = order[at : at + BATCH]
-                seen, right = contexts[rows], targets[rows]
-                noise = draw.choice(self.classes, NOISE, p=shares)
-                vector = self.predict(seen)
-                logit = (vector * self.out[right]).sum(1) + self.bias[right] - prior[right]
-                logits = vector @ self.out[noise].T + self.bias[noise] - prior[noise]
-                d_right = 1 / (1 + np.exp(-logit)) - 1
-                d_noise = 1 / (1 + np.exp(-logits))
-                d_vector = d_right[:, None] * self.out[right] + d_noise @ self.out[noise]
-                slopes = [np.zeros_like(w) for w in (self.into, self.out, self.bias)]
-                for i in range(CONTEXT):
-                    np.add.at(slopes[0][i], seen[:, i], d_vector)
-                np.add.at(slopes[1], right, d_right[:, None] * vector)
-                np.add.at(slopes[1], noise, d_noise.T @ vector)
-                np.add.at(slopes[2], right, d_right)
-                np.add.at(slopes[2], noise, d_noise.sum(0))
-                for w, slope, square in zip((self.into, self.out, self.bias), slopes, squares, strict=True):
-                    slope /= len(rows)
-                    square += slope**2
-                    w -= 0.1 * slope / np.sqrt(square)
+        self.shares, self.prior = shares, np.log(NOISE * shares).astype(np.float32)
+        for _ in range(EPOCHS):
+            self.learn_once(contexts, targets, draw)
         return self
 
     def log_chances(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
@@ -160,22 +174,72 @@ def vocabulary(counts: DataFrame, known_words: int = KNOWN_WORDS) -> Vocabulary:
     return Vocabulary(known, sums["n"], sums["c"], tails)
 
 
-def learn(docs: DataFrame, vocab: Vocabulary, key: str = "doc_id", text: str = "text", sample_tokens: int = SAMPLE_TOKENS) -> LogBilinear:
-    """The network, from a bounded sample: documents of the smallest hashes of ids, up to ``sample_tokens`` tokens."""
+def _blocks(vocab: Vocabulary):
+    """Blocks of whole texts as classes of two bytes each, every text followed by its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, n = [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                texts.append(vocab.ids([*words(text.as_py()), END]).astype(np.uint16))
+                n += len(texts[-1])
+                if n >= BLOCK:
+                    yield pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(texts).tobytes()], pa.binary())})
+                    texts, n = [], 0
+        if n:
+            yield pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(texts).tobytes()], pa.binary())})
+
+    return run
+
+
+def _trained(shares: np.ndarray, state: np.ndarray, epoch: int):
+    """The model's state after a task's tokens, times their number, and the number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, draw, n = LogBilinear(len(shares), shares), np.random.default_rng([SEED, epoch]), 0
+        model.load(state)
+        for batch in batches:
+            for block in batch["ids"]:
+                ids = np.frombuffer(block.as_py(), np.uint16).astype(np.int64)
+                ends = np.flatnonzero(ids == 0) + 1
+                contexts = np.concatenate([model.contexts(own) for own in np.split(ids, ends[:-1])])
+                # a text beyond a block's length is gone through in parts that keep their contexts
+                for at in range(0, len(ids), 2 * BLOCK):
+                    model.learn_once(contexts[at : at + 2 * BLOCK], ids[at : at + 2 * BLOCK], draw)
+                n += len(ids)
+        if n:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "state": pa.array([(model.state.astype(np.float64) * n).tobytes()], pa.binary())})
+
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, state = 0, 0.0
+    for batch in batches:
+        for count, part in zip(batch["n"].to_pylist(), batch["state"], strict=True):
+            n, state = n + count, state + np.frombuffer(part.as_py())
+    if n:
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "state": pa.array([state.tobytes()], pa.binary())})
+
+
+def learn(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> LogBilinear:
+    """The network, from every token of all documents, whatever their length.
+
+    In each epoch every task goes on from the same state over its texts; then the states are
+    averaged by numbers of tokens, first in about as many tasks as the root of their number, then on
+    the driver. So the weights depend on how the table is split.
+    """
     model = LogBilinear(1 + HEADS + TAILS, vocab.shares)
     if not vocab.tokens:
         return model
-    hashed = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11) / F.lit(float(2**53))
-    rows = docs.filter(hashed < min(1.0, 1.5 * sample_tokens / vocab.tokens)).select(hashed.alias("h"), F.substring(F.col(text), 1, 20_000).alias("text")).collect()
-    contexts, targets, n = [], [], 0
-    for row in sorted(rows, key=lambda r: (r["h"], r["text"] or "")):
-        if n >= sample_tokens:
-            break
-        ids = vocab.ids([*words(row["text"]), END])
-        contexts.append(model.contexts(ids))
-        targets.append(ids)
-        n += len(ids)
-    return model.fit(np.concatenate(contexts), np.concatenate(targets), vocab.shares) if n else model
+    blocks = stage(docs.select(F.col(text).alias("text")).mapInArrow(_blocks(vocab), "ids binary"), "classes")
+    blocks = blocks.coalesce(max(1, vocab.tokens // TASK_TOKENS))
+    between = math.isqrt(blocks.rdd.getNumPartitions() - 1) + 1
+    for epoch in range(EPOCHS):
+        trained = blocks.mapInArrow(_trained(vocab.shares, model.state, epoch), "n long, state binary")
+        sums = trained.repartition(between).mapInArrow(_summed, "n long, state binary").collect()
+        model.load(sum(np.frombuffer(r["state"]) for r in sums) / sum(r["n"] for r in sums))
+    return model
 
 
 def _scored(model: LogBilinear, known: dict[bytes, float], vocab: Vocabulary):
@@ -223,7 +287,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
 
     Training documents are those for which ``held_out(key)`` is false (crc32 of the id as text,
     modulo 10, is 0 for held-out ones; a null id counts as held out). Counts are taken over all of
-    them. A token's chance under the model is that of its class, normalised over all classes, and
+    them, and the network is trained on all of their tokens. A token's chance under the model is that of its class, normalised over all classes, and
     within a class of infrequent words the word's share by its count and 0.1.
 
     The frequent words' counts, a bounded number, go to every task, which scores its texts by
@@ -238,7 +302,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     train = docs.filter(~held(F.col(key)))
     counts = stage(count_tokens(train, text), "counts")
     vocab = vocabulary(counts, known_words)
-    model = learn(train, vocab, key, text)
+    model = learn(train, vocab, text)
     logs = {w: math.log10(n + 0.1) for w, n in vocab.known.items()}
     rows = docs.select(F.col(key).cast("long").alias("key"), held(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     scored = rows.mapInArrow(_scored(model, logs, vocab), "of long, key long, held_out boolean, word binary, times long, tokens long, known long, score double, base double")

@@ -105,6 +105,14 @@ def test_scores_of_unseen_texts_and_no_rows(spark, spoken):
     assert lm.score_documents(spoken.filter("false")).count() == 0
 
 
+def test_all_tokens_of_long_texts_train(spark):
+    keys = {h: next(i for i in range(100) if (zlib.crc32(str(i).encode()) % 10 == 0) == h) for h in (False, True)}
+    docs = table(spark, [(keys[False], "aa bb " * 4000 + "cc dd " * 4000), (keys[True], "cc dd " * 100)])
+    [row] = [r for r in lm.score_documents(docs).collect() if r.held_out]
+    # what follows cc and dd stands beyond the first 20,000 characters only
+    assert (row.score - row.base_score) / row.n_tokens > 0.3
+
+
 # --- nearest neighbours
 
 def test_neighbours_are_found_with_exact_scores(spark):
