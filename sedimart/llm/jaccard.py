@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +52,13 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
-def _described(n: int):
+def _described(n: int, carry: Sequence[str] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, n):
             levels = np.array([np.bincount(_levels(s), minlength=LEVELS) for s in sets]).reshape(-1, LEVELS)
             signs = np.array([_signature(s) for s in sets]).reshape(-1, SIGNATURE)
             node = pa.array([_digest(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_pydict({"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": node} | {f"level{i}": levels[:, i] for i in range(LEVELS)} | {c: signs[:, i] for i, c in enumerate(SIGNED)})
+            yield pa.RecordBatch.from_pydict({c: part[c] for c in ("key", *carry)} | {"size": pa.array(map(len, sets), pa.int64()), "node": node} | {f"level{i}": levels[:, i] for i in range(LEVELS)} | {c: signs[:, i] for i, c in enumerate(SIGNED)})
 
     return run
 
@@ -146,11 +146,12 @@ def _verified(n: int, percent: int):
 class Join:
     """The distinct sets of a table, their prefixes under the orders, and the links found so far."""
 
-    def __init__(self, docs: DataFrame, n: int, percent: int):
-        """``docs`` has key and text."""
+    def __init__(self, docs: DataFrame, n: int, percent: int, carry: Sequence[str] = ()):
+        """``docs`` has key, text and the columns of ``carry``."""
         self.n, self.percent = n, percent
         kinds = "key long, size long, node long" + "".join(f", level{i} long" for i in range(LEVELS)) + "".join(f", {c} long" for c in SIGNED)
-        self.rows = stage(docs.mapInArrow(_described(n), kinds), "described")
+        kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+        self.rows = stage(docs.mapInArrow(_described(n, carry), kinds), "described")
         one = [F.first(c).alias(c) for c in ("size", *(f"level{i}" for i in range(LEVELS)), *SIGNED)]
         self.nodes = stage(self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one), "nodes")
         self.shown = stage(self._prefixes(docs), "prefixes")
@@ -249,8 +250,11 @@ def _noded(n: int):
     return run
 
 
-def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row for each document: key, n_shingles, component_id (the smallest key that links reach).
+def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, carry: Sequence[str] = (), group: bool = False) -> DataFrame:
+    """One row for each document: key, n_shingles, component_id (the smallest key that links reach), ``carry``.
+
+    With ``group``, a last column of that name tells groups apart, whatever their keys: it is null for
+    documents without words.
 
     A document's set has its runs of ``n`` words, lower-cased A-Z; fewer words are one run; without
     words it is empty and linked with nothing. Two sets link if 100 * common >= percent * union.
@@ -268,15 +272,15 @@ def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     count as smallest, unless a group has no other. Other columns are not read. An empty table gives
     no rows.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    join = Join(rows, n, percent)
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carry)
+    join = Join(rows, n, percent, carry)
     join.against_pivots(range(1))
     join.against_pivots(range(1, PIVOTS))
     join.against_all()
     labels = components(join.links)
     labelled = join.nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("key").alias("component_id"))
-    of = labelled.join(least, "label").select("node", "component_id")
-    alone = join.rows.filter("node is null").select("key", "size", F.col("key").alias("component_id"))
-    grouped = join.rows.filter("node is not null").join(of, "node").select("key", "size", "component_id")
-    return grouped.unionByName(alone).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id")
+    of = labelled.join(least, "label").select("node", "component_id", F.col("label").alias("group"))
+    alone = join.rows.filter("node is null").select("key", "size", F.col("key").alias("component_id"), *carry, F.lit(None).cast("long").alias("group"))
+    grouped = join.rows.filter("node is not null").join(of, "node").select("key", "size", "component_id", *carry, "group")
+    return grouped.unionByName(alone).select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id", *carry, *(["group"] if group else []))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,23 +43,23 @@ def _word_windows(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("__keys", "__sorted", "__at")
 
 
-def measures(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """One row for each document: key, stratum, counts of its whole text, and the measures of ``CUTOFFS``.
+def measures(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", carry: Sequence[str] = ()) -> DataFrame:
+    """One row for each document: key, stratum, the columns of ``carry``, counts of its whole text, and the measures of ``CUTOFFS``.
 
     Words are runs of characters other than blanks and tabs to carriage returns; a null text has
     none. A measure with nothing to divide by is 0.
     """
-    body = df.select(F.col(key).alias("key"), F.col(stratum).cast("string").alias("stratum"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    body = df.select(F.col(key).alias("key"), F.col(stratum).cast("string").alias("stratum"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carry)
     seen = lambda line: F.trim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
     body = body.select(
-        "key", "stratum",
+        "key", "stratum", *carry,
         F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), seen).alias("lines"),
         F.regexp_replace("text", r"[^A-Z#*$%&|<>!]+", "").alias("marks"),
     )
     without = lambda chars: F.length("marks") - F.length(F.translate("marks", chars, ""))
     counted = _word_windows(body).select(
-        "key", "stratum",
+        "key", "stratum", *carry,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         without("#*$%&|<>").cast("long").alias("n_symbols"),
@@ -68,7 +69,7 @@ def measures(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: st
     )
     share = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
     return counted.select(
-        "key", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "key", "stratum", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         share("n_symbols", "n_words").alias("symbol_ratio"),
         share("n_exclaim", "n_words").alias("exclaim_ratio"),
         share("n_upper", "word_chars").alias("upper_ratio"),
@@ -151,9 +152,9 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, cutoffs: dict[str,
 
 def judge_quality(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang",
-    cutoffs: dict[str, list[float]] | None = None, risk: float = RISK, failure: float = FAILURE,
+    cutoffs: dict[str, list[float]] | None = None, risk: float = RISK, failure: float = FAILURE, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row for each document: key, n_words, the four counts, base_failed and kept.
+    """One row for each document: key, n_words, the four counts, base_failed, kept and the columns of ``carry``.
 
     A document fails the base rules with fewer than 50 words, or with more than half of its words in
     repeated windows. It is kept if it passes them and is above no cutoff that ``labels`` (key,
@@ -165,12 +166,12 @@ def judge_quality(
     Other columns are not read. No Python runs on executors.
     """
     cutoffs = cutoffs or CUTOFFS
-    measured = stage(measures(docs, key, text, stratum), "measures")
+    measured = stage(measures(docs, key, text, stratum, carry), "measures")
     found = certified_cutoffs(measured, labels, cutoffs, risk, failure, key).withColumnRenamed("stratum", "of")
     fails = [F.coalesce(F.col(m) > F.col(f"{m}_cutoff"), F.lit(False)) for m in cutoffs]
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = measured.join(found, F.col("stratum").eqNullSafe(F.col("of")), "left")
     return judged.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), (~base & ~F.greatest(*fails)).alias("kept"),
+        base.alias("base_failed"), (~base & ~F.greatest(*fails)).alias("kept"), *carry,
     )

@@ -307,3 +307,17 @@ def test_pipeline_keeps_clean_documents_and_drops_the_others(spark, tmp_path):
     ids = {r.doc_id for r in packed}
     assert ids == {*range(60), 105, 106}
     assert {tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "piece", "length", "ids_crc32").collect()} == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed}
+
+
+def test_pipeline_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    clean = [" ".join(f"lo{i}mo{j}" for j in range(90)) for i in range(4)]
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    judged = corpus_pipeline.judge(spark, table(spark, [(1, clean[0]), (1, "too short"), (None, clean[1]), (None, "short")], "aa"), str(tmp_path))
+    assert {(r.doc_id, r.text) for r in judged.collect()} == {(1, clean[0]), (None, clean[1])} and judged.columns == [c.split()[0] for c in DOCS.split(", ")]
+    # a unique text of an id stays beside a copy of another; of equal rows one stays, also without ids
+    texts = [(1, clean[0]), (2, clean[0] + " x"), (2, clean[1]), (3, clean[2]), (3, clean[2]), (None, clean[3]), (None, clean[3]), (None, clean[2]), (4, None), (5, "")]
+    left = corpus_pipeline.deduplicate(spark, table(spark, texts, "aa"), str(tmp_path))
+    got = collections.Counter((r.doc_id, r.text) for r in left.collect())
+    assert got == collections.Counter([(1, clean[0]), (2, clean[1]), (3, clean[2]), (None, clean[3]), (4, None), (5, "")])
