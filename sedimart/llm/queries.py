@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, quality, sharding, suffixes, urls
+from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, periodic, quality, resample, sharding, suffixes, urls
 from sedimart.sources.landing import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,32 @@ def op9_sparse_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 def op10_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     return bytebpe.encode_documents(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op11_median_cutoff_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query
+def op13_difference_cover_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth id's words are first made to repeat with a period that follows from the id's CRC-32."""
+    documents = read_table(spark, folder, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = documents.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    cut = cut.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    cut = cut.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    made = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", again(i))), " ")
+    text = F.when(F.col("a").isNotNull(), made).otherwise(F.col("text"))
+    found = periodic.periodic_runs(cut, "doc_id", text)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))))
+    best = found.withColumn("best", longest).withColumn("length", F.col("best.length")).withColumn("period", -F.col("best.period"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), "length", "period",
+        F.floor(1000 * F.col("length") / F.col("period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
