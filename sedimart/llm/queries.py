@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, periodic, quality, resample, sharding, suffixes, urls
+from sedimart.llm import ann, bytebpe, jaccard, langid, lm, packing, periodic, quality, resample, sharding, suffixes, urls, warc
+from sedimart.session import shared_folder
 from sedimart.sources.landing import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +182,22 @@ def op13_difference_cover_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(1000 * F.col("length") / F.col("period")).cast("long").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(read_table(spark, folder, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
+    return warc.read_pages(spark, archives, whole=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op12_warc_segments"] = """
+with payloads as (
+  select row_number() over () as row, page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), placed as (
+  select *, row_number() over same as place, first_value(page_id) over same as owner
+  from payloads window same as (partition by payload_digest order by page_id nulls last, row)
+)
+select page_id, payload_bytes, payload_digest, case when payload_bytes >= 100 and place > 1 then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and place > 1 then owner end as refers_to
+from placed
+"""
