@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -180,13 +182,13 @@ def _found(least: int):
 
 def _search(texts: list[list[bytes]], group: list[int], least: int, runs: list, rest: list[bytes]) -> None:
     """Fill in the runs of the texts of a group, and the words that are left when repeats go."""
-    ids: dict[bytes, int] = {}
-    flat, first = [], [0]
+    ids: dict[bytes, int] = defaultdict(count().__next__)
+    first = np.cumsum([0, *(len(texts[i]) + 1 for i in group)])
+    flat = np.empty(first[-1], np.int32)
     for k, i in enumerate(group):
-        flat.extend([ids.setdefault(w, len(ids)) for w in texts[i]])
-        flat.append(-2 - k)
-        first.append(len(flat))
-    found = runs_of(np.array(flat, np.int32), max((len(texts[i]) for i in group), default=0), least)
+        flat[first[k] : first[k + 1] - 1] = list(map(ids.__getitem__, texts[i]))
+        flat[first[k + 1] - 1] = -2 - k
+    found = runs_of(flat, max((len(texts[i]) for i in group), default=0), least)
     owner = np.searchsorted(first, found[:, 0], side="right") - 1
     stops = np.searchsorted(owner, np.arange(len(group) + 1))
     for k, i in enumerate(group):
