@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.catalog.registry import Tables, query
-from sedimart.operators.joins import contains_join
+from sedimart.operators.containment import contains_join
 from sedimart.operators.linking import link_best, token_candidates
 
 _TOKENS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\W+'), lambda w: w <> ''))"

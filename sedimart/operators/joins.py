@@ -4,77 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from sedimart.functions.columns import array_key, as_col, like_built, path_tail
-
-# Anchor lengths of a contains join, longest first.
-ANCHORS = (16, 8, 4, 2, 1)
-
-
-def literal_run(pattern: Column) -> Column:
-    """Longest run of a LIKE pattern without ``%``, ``_`` and escapes, first of equals."""
-    runs = F.split(pattern, r"[%_\\]")
-    longest = lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best)
-    return F.aggregate(runs, F.lit(""), longest)
-
-
-def _kinds() -> list[tuple[str, str]]:
-    """(name, regex whose group 1 is an anchor) from most to least selective.
-
-    An anchor that follows a space inside the pattern follows one in the text too, so texts are
-    cut at their words only; patterns without one use every position of the text.
-    """
-    aligned = [(f"w{n}", rf"(?s)\s(?=(\S.{{{n - 1}}}))") for n in ANCHORS if n >= 8]
-    return aligned + [(f"c{n}", f"(?s)(?=(.{{{n}}}))") for n in ANCHORS]
-
-
-def _anchor(run: Column) -> tuple[Column, Column]:
-    """Kind and text of a pattern's anchor; kind '' and text '' if it has no literal text."""
-    kind, text = F.lit(""), F.lit("")
-    for name, regex in reversed(_kinds()):
-        found = F.regexp_extract(run, regex, 1)
-        kind, text = F.when(found != "", name).otherwise(kind), F.when(found != "", found).otherwise(text)
-    return kind, text
-
-
-def _cuts(text: Column, kind: Column) -> Column:
-    """Distinct anchors of one kind in a text; kind '' gives the one empty anchor."""
-    out = F.array(F.lit(""))
-    for name, regex in _kinds():
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(regex), F.lit(1)))
-        out = F.when(kind == name, found).otherwise(out)
-    return out
-
-
-def contains_join(
-    left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_text: str, ignore_case: bool = True
-) -> DataFrame:
-    """Pairs with ``left_text [I]LIKE '%' || right_text || '%'``, found through an equality join.
-
-    Whoever contains a pattern contains its anchor, a short piece of it.  Texts and patterns meet
-    on the anchor as (id, anchor) rows, without the texts, and only those pairs are compared in
-    full.  A pattern has one anchor and a text's anchors are distinct, so a pair meets once.
-    ``left_id`` is unique; both sides' columns are kept and must differ by name.
-    """
-    fold = F.lower if ignore_case else (lambda c: c)
-    patterns = right.select(right_text).filter(F.col(right_text).isNotNull()).distinct()
-    kind, anchor = _anchor(literal_run(fold(F.col(right_text))))
-    keyed = patterns.select(F.col(right_text).alias("__pattern"), kind.alias("__kind"), anchor.alias("__anchor"))
-    # the kinds in use: at most one per entry of _kinds(), whatever the number of patterns
-    kinds = keyed.agg(F.collect_set("__kind").alias("kinds")).scalar()
-    cut = (
-        left.filter(F.col(left_text).isNotNull())
-        .select(F.col(left_id).alias("__id"), fold(F.col(left_text)).alias("__text"), F.explode(kinds).alias("__kind"))
-        .select("__id", "__kind", F.explode(_cuts(F.col("__text"), F.col("__kind"))).alias("__anchor"))
-    )
-    met = cut.join(keyed, ["__kind", "__anchor"]).select("__id", "__pattern")
-    return (
-        left.join(met, F.col(left_id) == F.col("__id"))
-        .filter(like_built(left_text, "__pattern", ignore_case))
-        .join(right, F.col("__pattern") == F.col(right_text))
-        .drop("__id", "__pattern")
-    )
+from sedimart.functions.columns import array_key, path_tail
 
 
 def member_join(
@@ -120,8 +52,3 @@ def latest_version_join(left: DataFrame, right: DataFrame, left_key: str, right_
     place = F.rank().over(Window.partitionBy(right_key).orderBy(F.desc(version_col)))
     last = dated.withColumn("__place", place).filter("__place = 1").drop("__place")
     return left.join(last, F.col(left_key) == F.col(right_key))
-
-
-def equal_any(value: Column | str, options: Column) -> Column:
-    """EXISTS over an array: some element equals the value, NULL never does."""
-    return F.coalesce(F.exists(options, lambda x: x == as_col(value)), F.lit(False))

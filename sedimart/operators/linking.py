@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.functions.text import tokens, tokens_match
-from sedimart.operators.joins import contains_join
+from sedimart.operators.containment import contains_join
 
 
 def token_candidates(

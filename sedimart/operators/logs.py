@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedimart.functions.columns import Col, as_col
 from sedimart.functions.fixed import LOG_PATH, LOOKS_LIKE_JSON, NUL_ESCAPE, PROCESS_LIST
 from sedimart.functions.jsontext import json_field
-from sedimart.operators.joins import contains_join
+from sedimart.operators.containment import contains_join, window_join
 from sedimart.operators.ranking import best_per_group
+from sedimart.session import materialize
+
 
 def _looks_like_json(text: Column) -> Column:
     return text.rlike(LOOKS_LIKE_JSON)
@@ -71,20 +75,32 @@ def log_folders(df: DataFrame) -> DataFrame:
     return df.select(F.regexp_extract("logfile", LOG_PATH, 2).alias("container_id")).filter("container_id <> ''").distinct()
 
 
+# Lengths of container ids that are looked up one by one; more of them go through a containment join.
+ID_LENGTHS = 4
+
+
 def attach_container(logs: DataFrame, processes: DataFrame, containers: DataFrame | None = None) -> DataFrame:
     """Name every log row by the process whose id is part of its container id.
 
     Containers are few and log rows many: the containment is settled once per distinct
     container, and the rows then meet the short result on equality.  ``containers`` (from
-    ``log_folders``) saves reading the records a second time to find the containers.
+    ``log_folders``) saves reading the records a second time to find the containers.  Short ids
+    have one length or few: each folder name is cut into windows of that length, which meet the ids
+    on equality.  Ids of many lengths, or with wildcards, are found by a containment join.
     """
-    names = latest_names(processes).withColumnRenamed("container_id", "__short_id")
+    names = materialize(latest_names(processes).withColumnRenamed("container_id", "__short_id"))
     known = logs.select("container_id").distinct() if containers is None else containers
     folders = known.select(F.col("container_id").alias("__folder"))
-    named = contains_join(
-        folders.withColumn("__folder_id", F.col("__folder")), names, "__folder_id", "__folder", "__short_id", False
-    ).select("__folder", "container_name")
-    joined = logs.join(named, F.col("container_id") == F.col("__folder"))
+    shape = names.agg(
+        F.slice(F.sort_array(F.collect_set(F.length("__short_id"))), 1, ID_LENGTHS + 1).alias("lengths"),
+        F.coalesce(F.bool_or(F.col("__short_id").rlike(r"[%_\\]") | (F.col("__short_id") == "")), F.lit(False)).alias("patterns"),
+    ).first()
+    if shape["patterns"] or len(shape["lengths"]) > ID_LENGTHS:
+        keyed = folders.withColumn("__folder_id", F.col("__folder"))
+        named = contains_join(keyed, names, "__folder_id", "__folder", "__short_id", False)
+    else:
+        named = reduce(DataFrame.unionByName, [window_join(folders, names, "__folder", "__short_id", n) for n in shape["lengths"] or [1]])
+    joined = logs.join(named.select("__folder", "container_name"), F.col("container_id") == F.col("__folder"))
     return joined.select("id", "record", "container_name", "create_ts")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from sedimart.functions.text import tokens, tokens_match
 from sedimart.operators.html import html_lessons
-from sedimart.operators.joins import contains_join, member_join
+from sedimart.operators.containment import contains_join, meetings, window_join
+from sedimart.operators.joins import member_join
 from sedimart.operators.linking import link_best, token_candidates
 from sedimart.operators.people import SATELLITES, combine, member_table, name_parts, names_agree, person_facts, user_table
 from sedimart.operators.snapshots import calendar_expand, page_diff, snapshot_diff
@@ -33,6 +34,24 @@ def test_contains_join_equals_brute_force(spark):
     assert "BroadcastNestedLoopJoin" not in plan(contains_join(left, right, "id", "text", "part"))
 
 
+@pytest.mark.parametrize("tail", [" group {}", "-{}"])
+def test_patterns_with_one_head_meet_few_texts(spark, tail):
+    head = "Faculty of Physics and Mathematics"
+    names = [head + tail.format(1000 + i) for i in range(300)]
+    texts = [(i, f"{head} x {n} y") for i, n in enumerate(names * 3)]
+    left = spark.createDataFrame(texts, "id int, text string")
+    right = spark.createDataFrame([(n,) for n in names], "part string")
+    folded = meetings(left.select("id", F.lower("text").alias("folded")), right.select(F.col("part").alias("pattern"), F.lower("part").alias("folded")))
+    assert contains_join(left, right, "id", "text", "part").count() == 900
+    assert folded.count() < 1200  # 270,000 pairs hold the head
+
+
+def test_window_join_is_containment_of_ids(spark):
+    left = spark.createDataFrame([("abcabcd",), ("bc",), ("",), (None,), ("xabc",)], "folder string")
+    right = spark.createDataFrame([("abc",), ("bcd",), ("zz",), (None,)], "id string")
+    assert rows(window_join(left, right, "folder", "id", 3), "folder", "id") == [("abcabcd", "abc"), ("abcabcd", "bcd"), ("xabc", "abc")]
+
+
 def test_token_match_and_russian_stems(spark):
     df = spark.createDataFrame([("Лекция по механике и оптике", "механика"), ("Лекция", "и"), ("red ring", "ring red"), ("red", None)], "d string, q string")
     out = df.select(tokens_match(tokens("d"), tokens("q")).alias("m")).collect()
