@@ -2,8 +2,9 @@
 
 Default contract: *close* ends the open versions whose key has no equal row in the snapshot,
 *increment* opens a version for every snapshot row without an open one.  Only open versions take
-part in the join; closed ones pass through without a shuffle, so the cost of a run follows the
-live table and not the length of the history.  A snapshot holds one row per key.
+part; closed ones pass through without a shuffle, so the cost of a run follows the live table and
+not the length of the history.  A snapshot holds one row per key (exact repeats collapse, others are
+an error); rows without a key are told apart by their compared columns.
 
 ``compat=True`` gives what the warehouse's SQL did as written, quirks included (closed versions
 are stamped again, deleted keys add an all-NULL row, a rerun on the same day inserts again).
@@ -27,20 +28,6 @@ def _prefixed(snap: DataFrame, cols: list[str]) -> DataFrame:
     return snap.select(*[F.col(c).alias(SNAP + c) for c in cols], F.lit(True).alias(SNAP))
 
 
-def _one_per_key(snap: DataFrame, key: str) -> DataFrame:
-    """The snapshot without exact repeats; two different rows of a key are an error."""
-    rows = snap.distinct()
-    times = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    message = F.concat(F.lit("snapshot repeats key "), F.col(key).cast("string"))
-    checked = rows.join(times, F.col(key) == F.col("__key"), "left")
-    fine = F.when(F.col("__n").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return checked.filter(fine).select(*snap.columns)
-
-
-def _all_same(cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(SNAP + c)) for c in cols], F.lit(True))
-
-
 def _day(ds: str) -> Column:
     return F.lit(ds).cast("date")
 
@@ -62,12 +49,8 @@ def scd2_close(
     """
     if compat:
         return _close_as_written(hist, snap, key, cmp_cols, ds, null_safe or [], open_only)
-    closed, live = hist.filter(F.col(TO).isNotNull()), scd2_current(hist)
-    side = _prefixed(_one_per_key(snap.select(*dict.fromkeys([key, *cmp_cols])), key), list(dict.fromkeys([key, *cmp_cols])))
-    on = F.col(key).eqNullSafe(F.col(SNAP + key)) & _all_same(cmp_cols)
-    checked = live.join(side, on, "left")
-    ended = checked.withColumn(TO, F.when(F.col(SNAP).isNull(), _day(ds))).select(*hist.columns)
-    return closed.unionByName(ended)
+    closed = hist.filter(F.col(TO).isNotNull())
+    return closed.unionByName(_changed(scd2_current(hist), snap.select(*dict.fromkeys([key, *cmp_cols])), key, cmp_cols, ds, opens=False))
 
 
 def scd2_increment(
@@ -83,12 +66,10 @@ def scd2_increment(
     History columns that the snapshot lacks come from ``fill``, else they are NULL.
     """
     if compat:
-        new = _increment_as_written(hist, snap, key, ds, fill)
-    else:
-        live = scd2_current(hist).select(F.col(key).alias(SNAP + key))
-        waiting = _one_per_key(snap, key).join(live, F.col(key).eqNullSafe(F.col(SNAP + key)), "left_anti")
-        new = _as_versions(hist, waiting, ds, fill)
-    return hist.unionByName(new)
+        return hist.unionByName(_increment_as_written(hist, snap, key, ds, fill))
+    closed = hist.filter(F.col(TO).isNotNull())
+    same = [c for c in hist.columns if c in snap.columns and c not in (FROM, TO)]
+    return closed.unionByName(_changed(scd2_current(hist), snap, key, same, ds, closes=False, fill=fill))
 
 
 def scd2_apply(
@@ -106,52 +87,71 @@ def scd2_apply(
     if compat:
         ended = scd2_close(hist, snap, key, cmp_cols, ds, True, null_safe, open_only)
         return scd2_increment(ended, snap, key, ds, True, fill)
-    closed, live = hist.filter(F.col(TO).isNotNull()), scd2_current(hist)
-    fill = fill or {}
-    from_snap = [c for c in hist.columns if c in snap.columns and c not in (FROM, TO)]
-    side = _prefixed(_one_per_key(snap.select(*from_snap), key), from_snap)
-    joined = live.withColumn("__live", F.lit(True)).join(
-        side, F.col(key).eqNullSafe(F.col(SNAP + key)), "full_outer"
-    )
-    types = dict(zip(hist.columns, [f.dataType for f in hist.schema.fields]))
-    is_live, in_snap = F.col("__live").isNotNull(), F.col(SNAP).isNotNull()
-    unchanged = is_live & in_snap & _all_same(cmp_cols)
-
-    def fresh(c: str) -> Column:
-        if c == FROM:
-            return _day(ds)
-        if c == TO:
-            return F.lit(None)
-        if c in from_snap:
-            return F.col(SNAP + c)
-        return fill.get(c, F.lit(None))
-
-    old = F.struct(
-        *[
-            F.when(unchanged, F.col(TO)).otherwise(_day(ds)).cast(types[c]).alias(c) if c == TO else F.col(c)
-            for c in hist.columns
-        ]
+    closed = hist.filter(F.col(TO).isNotNull())
+    return closed.unionByName(_changed(scd2_current(hist), snap, key, cmp_cols, ds, fill=fill))
+
+
+def _changed(
+    live: DataFrame, snap: DataFrame, key: str, cmp_cols: list[str], ds: str, closes: bool = True, opens: bool = True, fill: dict[str, Column] | None = None
+) -> DataFrame:
+    """The open versions after a snapshot: ended where it has no equal row, and new ones where it has no open one.
+
+    Both tables are tagged, put together and aggregated by key: each is read once, a repeated
+    snapshot row collapses before the shuffle, and nothing is joined. Rows without a key take another way.
+    """
+    cols, from_snap = live.columns, [c for c in live.columns if c in snap.columns and c not in (FROM, TO)]
+    known = F.col(key).isNotNull()
+    old = live.filter(known).select(F.col(key).alias("__key"), F.struct(*cols).alias("__old"))
+    side = snap.filter(known).select(F.col(key).alias("__key"), F.struct(*from_snap).alias("__new"))
+    grouped = old.unionByName(side, allowMissingColumns=True).groupBy("__key").agg(
+        F.collect_list("__old").alias("__olds"), F.min("__new").alias("__new"), F.max("__new").alias("__last")
     )
-    new = F.struct(*[fresh(c).cast(types[c]).alias(c) for c in hist.columns])
-    rows = F.array_compact(F.array(F.when(is_live, old), F.when(in_snap & ~unchanged, new)))
-    moved = joined.select(F.explode(rows).alias("v")).select("v.*")
-    return closed.unionByName(moved)
+    message = F.concat(F.lit("snapshot repeats key "), F.col("__key").cast("string"))
+    one = F.when(F.col("__new").eqNullSafe(F.col("__last")), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    types = {f.name: f.dataType for f in live.schema.fields}
+    equal = lambda row: F.col("__new").isNotNull() & reduce(lambda a, b: a & b, [row[c].eqNullSafe(F.col("__new")[c]) for c in cmp_cols], F.lit(True))
+    ended = lambda row: F.struct(*[F.when(equal(row), row[TO]).otherwise(_day(ds)).cast(types[c]).alias(c) if c == TO else row[c].alias(c) for c in cols])
+    rows = F.transform("__olds", ended) if closes else F.col("__olds")
+    if opens:
+        version = _version({c: F.col("__new")[c] for c in from_snap}, live, ds, fill)
+        stays = F.exists("__olds", equal) if closes else F.size("__olds") > 0
+        rows = F.concat(rows, F.when(F.col("__new").isNotNull() & ~stays, F.array(F.struct(*version))).otherwise(F.array().cast(live.select(F.array(F.struct(*cols)).alias("a")).schema["a"].dataType)))
+    moved = grouped.filter(one).select(F.explode(rows).alias("v")).select("v.*")
+    return moved.unionByName(_keyless(live.filter(~known), snap.filter(~known).select(*from_snap), cmp_cols, ds, closes, opens, fill))
+
+
+def _keyless(live: DataFrame, snap: DataFrame, cmp_cols: list[str], ds: str, closes: bool, opens: bool, fill: dict[str, Column] | None) -> DataFrame:
+    """The same for rows without a key, which are told apart by their compared columns.
+
+    Equal rows are counted before anything meets, so however many there are, one row of each kind is
+    moved, and they are told out again in the end.
+    """
+    kind = F.xxhash64(*cmp_cols) if cmp_cols else F.lit(0).cast("bigint")
+    cols = live.columns
+    kinds = live.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).withColumn("__kind", kind)
+    fresh = snap.distinct().withColumn("__kind", kind)
+    parts = []
+    if closes:
+        same = fresh.select(F.col("__kind").alias("__met")).distinct()
+        marked = kinds.join(same, F.col("__kind") == F.col("__met"), "left")
+        marked = marked.withColumn(TO, F.when(F.col("__met").isNull(), _day(ds)).otherwise(F.col(TO)))
+    else:
+        marked = kinds
+    parts.append(marked.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n"))).select(*cols))
+    if opens:
+        waiting = fresh.join(kinds.select("__kind").distinct(), "__kind", "left_anti").drop("__kind")
+        parts.append(waiting.select(*_version({c: F.col(c) for c in snap.columns}, live, ds, fill)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _version(values: dict[str, Column], hist: DataFrame, ds: str, fill: dict[str, Column] | None) -> list[Column]:
+    """The columns of a new version: its values, else those of ``fill``, else NULL, in the history's types."""
+    values = (fill or {}) | values | {FROM: _day(ds), TO: F.lit(None)}
+    return [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in hist.schema.fields]
 
 
 def _as_versions(hist: DataFrame, rows: DataFrame, ds: str, fill: dict[str, Column] | None) -> DataFrame:
-    fill = fill or {}
-    out = []
-    for field in hist.schema.fields:
-        if field.name == FROM:
-            value = _day(ds)
-        elif field.name == TO:
-            value = F.lit(None)
-        elif field.name in rows.columns:
-            value = F.col(field.name)
-        else:
-            value = fill.get(field.name, F.lit(None))
-        out.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(*out)
+    return rows.select(*_version({c: F.col(c) for c in rows.columns if c not in (FROM, TO)}, hist, ds, fill))
 
 
 def _close_as_written(

@@ -1,12 +1,13 @@
 """Merges as pure functions (target, source) -> new target.
 
-Only the changed side is joined against the target, with inner, left, semi and anti joins and
-without hints: a small source is broadcast by Spark's own size check and the target is then not
-shuffled at all, a large one becomes a shuffled join on the keys.  Rows with a NULL key match
-nothing, so they are set aside before the join instead of meeting in one shuffle partition.
-
-Target and source are read more than once: hand in tables.  Where a mart computes its source, it
-writes it first (``session.materialize``), so that the work is not repeated.
+Conditional merges and upserts tag the rows of both sides, put them together and shuffle that once on
+the keys: one sort by key brings each target row next to its source rows, which picks the new values,
+checks for repeats and finds the rows to insert. Insert-only merges and updates join the source's keys
+without hints, so a small source is broadcast by Spark's own size check and the target not shuffled.
+Rows with a NULL key match nothing; they are spread evenly instead of meeting in one task.
+
+Where a mart computes its source, it writes it first (``session.materialize``), so that the work is
+not repeated.
 """
 
 from __future__ import annotations
@@ -68,6 +69,19 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
     return target.unionByName(_unmatched(target, known.dropDuplicates(keys), keys)).unionByName(unknown)
 
 
+def _side_by_side(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both tables, ``__new`` on those of the source; ``__lone`` keeps each row with a NULL key by itself."""
+    tagged = target.withColumn("__new", F.lit(False)).unionByName(source.select(*target.columns).withColumn("__new", F.lit(True)))
+    apart = 2 * F.monotonically_increasing_id() + F.col("__new").cast("bigint")
+    return tagged.withColumn("__lone", F.when(_any_null(keys), apart))
+
+
+def _repeat_check(fine: Column, keys: list[str]) -> Column:
+    """A filter, so that no column pruning drops it."""
+    message = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*keys)))
+    return F.when(fine, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def merge_conditional(
     target: DataFrame,
     source: DataFrame,
@@ -75,34 +89,38 @@ def merge_conditional(
     update: dict[str, Callable[[Column, Column], Column]],
     matched_if: Callable[[Callable[[str], Column]], Column] | None = None,
     insert_if: Callable[[Callable[[str], Column]], Column] | None = None,
+    order_by: list[Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """MERGE with conditions on the source row.
+    """MERGE with conditions on the source row, in one shuffle of both tables.
 
     ``update`` maps a column to a function of (old value, new value).  ``matched_if`` and
     ``insert_if`` get a function that looks up a source column.  A target row that several source
-    rows would update is an error.
+    rows would update is an error; with ``unique``, so is any repeated key of the source.  With
+    ``order_by`` the first source row of a key by that order stands for all of them.
     """
-    fresh = source.select(*target.columns)
-    known, unknown = split_null_keys(fresh, keys)
-    hits = known if matched_if is None else known.filter(matched_if(F.col))
-    times = hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    new_side = hits.select(*keys, *[F.col(c).alias(SRC + c) for c in update], F.lit(True).alias(SRC))
-    new_side = new_side.join(times, keys, "left")
-    message = F.concat(F.lit("merge source repeats key "), F.to_json(F.struct(*keys)))
-    joined = target.join(new_side, keys, "left")
-    joined = joined.filter(F.when(F.col("__n").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    updated = joined.select(
-        *[
-            F.when(F.col(SRC), update[c](F.col(c), F.col(SRC + c))).otherwise(F.col(c)).alias(c)
-            if c in update
-            else F.col(c)
-            for c in target.columns
-        ]
+    both = _side_by_side(target, source, keys)
+    own = Window.partitionBy(*keys, "__lone").orderBy("__new", *(order_by or []))
+    group = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    new = F.col("__new")
+    hit = new if matched_if is None else new & F.coalesce(matched_if(F.col), F.lit(False))
+    both = both.withColumns(
+        {
+            "__old": F.max(~new).over(group),
+            "__times": F.sum((new if unique else hit).cast("int")).over(group),
+            "__first": ~F.coalesce(F.lag("__new").over(own), F.lit(False)),
+            "__fresh": F.first(F.when(hit, F.struct(F.lit(True).alias("__hit"), *update)), ignorenulls=True).over(group),
+        }
     )
-    inserts = _unmatched(target, known, keys).unionByName(unknown)
+    if order_by is None:
+        both = both.filter(_repeat_check((F.col("__times") <= 1) | ~(F.col("__old") | F.lit(unique)), keys))
+    else:
+        both = both.filter(~new | F.col("__first"))
+    insert = new & ~F.col("__old")
     if insert_if is not None:
-        inserts = inserts.filter(insert_if(F.col))
-    return updated.unionByName(inserts)
+        insert &= insert_if(F.col)
+    value = lambda c: F.when(~new & F.col("__fresh").isNotNull(), update[c](F.col(c), F.col("__fresh")[c])).otherwise(F.col(c)).alias(c)
+    return both.filter(~new | insert).select(*[value(c) if c in update else F.col(c) for c in target.columns])
 
 
 def upsert(
@@ -116,11 +134,8 @@ def upsert(
 
     A key that repeats in the source is an error, unless ``order_by`` says which row wins.
     """
-    known, unknown = split_null_keys(source.select(*target.columns), keys)
-    single = unique_source(known, keys, order_by)
-    keyless = unknown
     update = {c: (lambda old, new: new) for c in set_cols if c not in keys}
-    return merge_conditional(target, single, keys, update).unionByName(keyless)
+    return merge_conditional(target, source, keys, update, order_by=order_by, unique=True)
 
 
 def update_from(

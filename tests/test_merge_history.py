@@ -72,6 +72,28 @@ def test_small_source_is_broadcast_and_target_not_shuffled(spark, tmp_path):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+@pytest.fixture
+def spread_out(spark):
+    """Small partitions stay apart, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_merge_and_upsert_read_and_shuffle_each_side_once(spark, spread_out, tmp_path):
+    for name, n, v in (("t", 1000, "a"), ("s", 300, "b")):
+        spark.range(n).select(F.when(F.col("id") % 3 > 0, F.col("id")).cast("int").alias("k"), F.lit(v).alias("v")).write.parquet(str(tmp_path / name))
+    target, source = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    merged = merge_conditional(target, source, ["k"], {"v": lambda old, new: new}, insert_if=lambda c: c("v") == "b")
+    for out in (merged, upsert(target, source, ["k"], ["v"]), upsert(target, source, ["k"], ["v"], [F.col("v")])):
+        text = plan(out)
+        assert text.count("Exchange") == 1 and text.count("FileScan") <= 2 and "Join" not in text
+        # rows without a key are all kept, and lie in more than one task
+        assert out.filter("k is null").count() == 334 + 100
+        assert out.filter("k is null").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+        assert out.filter("k is not null and v = 'b'").count() == 200 and out.count() == 1100
+
+
 D = datetime.date
 HIST = "k int, a string, b string, valid_from_dt date, valid_to_dt date"
 HISTORY = [
@@ -108,6 +130,24 @@ def test_scd2_contract(spark):
     assert scd2_current(done).groupBy("k").count().filter("count > 1").count() == 0
 
 
+def test_scd2_rows_without_a_key(spark, spread_out):
+    """A third of the keys is NULL: such rows are told apart by content, and no task holds them all."""
+    day = D(2024, 1, 1)
+    hist = spark.createDataFrame([(None if i % 3 == 0 else i, f"a{i}", "x", day, None) for i in range(300)] + [(None, None, None, day, None)] * 40, HIST)
+    rows_now = [(None if i % 3 == 0 else i, f"a{i}", "x" if i % 2 else "y") for i in range(300)] + [(None, None, None)] * 70
+    snap = spark.createDataFrame(rows_now, "k int, a string, b string")
+    done = scd2_apply(hist, snap, "k", ["a", "b"], "2024-02-01")
+    assert done.filter("k is null and valid_to_dt is null and a is null").count() == 40
+    assert done.filter("k is null and valid_to_dt = date '2024-02-01'").count() == 50
+    assert done.filter("k is null and valid_from_dt = date '2024-02-01'").count() == 50
+    assert done.filter("k is not null").count() == 300
+    assert rows(scd2_apply(done, snap, "k", ["a", "b"], "2024-03-01")) == rows(done)
+    stepped = scd2_increment(scd2_close(hist, snap, "k", ["a", "b"], "2024-02-01"), snap, "k", "2024-02-01")
+    assert rows(stepped) == rows(done)
+    spread = done.filter("k is null").groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert spread[0] < spread[1] / 2
+
+
 def test_scd2_as_written_quirks(spark):
     hist, snap = spark.createDataFrame(HISTORY, HIST), spark.createDataFrame(SNAPSHOT, "k int, a string, b string")
     out = rows(scd2_apply(hist, snap, "k", ["a", "b"], "2024-02-01", compat=True))
