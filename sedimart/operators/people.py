@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,6 +13,7 @@ from sedimart.functions.fixed import MEMBER_BIRTHDAY, MEMBER_SOURCE, NAME_PARAM,
 from sedimart.operators.aggregates import eav_pivot, sorted_set
 from sedimart.operators.merge import upsert
 from sedimart.operators.ranking import completeness_dedupe
+from sedimart.session import stage
 
 
 def name_words(col: Col) -> Column:
@@ -97,14 +99,15 @@ def member_table(members: DataFrame) -> DataFrame:
     )
 
 
-# Attributes that only the profile knows.
+# Attributes that only the profile knows.
 USER_ONLY = [
     "academic_group", "address", "birth_city", "city", "department", "git_hub_username", "home_phone_number",
     "position", "sex", "telegram_username", "university", "vk_username", "workplace", "workplace_address",
 ]
-# Attributes that both sides may know.
+# Attributes that both sides may know.
 SHARED = ["education_form", "education_level", "email", "faculty", "phone_number", "photo"]
 
+# Attributes that count towards the fullness of a match.
 COMPLETENESS = [
     *USER_ONLY, *SHARED, "faculty_eng", "full_name", "full_name_eng", "student_id", "status", "rzd_number",
     "card_id", "card_status", "card_date", "card_number", "card_user",
@@ -172,12 +175,18 @@ class Satellite:
     def conflict(self) -> list[str]:
         return self.keys or ["user_id", next(iter(self.values))]
 
+    @property
+    def value_key(self) -> str:
+        """The value column that, with the user, tells rows apart."""
+        return next(c for c in self.conflict if c != "user_id")
+
 
 def _plain(table: str, column: str, attr: str | None = None, source: str | None = "") -> Satellite:
     attr = attr or table
     return Satellite(table, {column: attr}, f"{attr}_source" if source == "" else source)
 
 
+# The attribute tables with their columns and sources.
 SATELLITES = [
     _plain("academic_group", "group"),
     _plain("address", "address"),
@@ -225,26 +234,73 @@ SATELLITES = [
 ]
 
 
-def satellite_rows(combined: DataFrame, spec: Satellite, as_of: str) -> DataFrame:
-    """Rows that the combined table offers to one attribute table."""
-    source = F.lit(MEMBER_SOURCE) if spec.source is None else F.col(spec.source)
-    guards = [
-        F.col(c).isNotNull() if column in spec.may_be_blank else ~is_blank(c) for column, c in spec.values.items()
-    ]
-    guards.append(~is_blank(source))
+def _offered(spec: Satellite) -> Column:
+    """Whether a row of the combined table has something for an attribute table."""
+    guards = [F.col(c).isNotNull() if column in spec.may_be_blank else ~is_blank(c) for column, c in spec.values.items()]
+    guards.append(~is_blank(_source_of(spec)))
     if spec.needs_student:
         guards.append(~is_blank("student_id"))
+    return reduce(lambda a, b: a & b, guards)
+
+
+def _source_of(spec: Satellite) -> Column:
+    return F.lit(MEMBER_SOURCE) if spec.source is None else F.col(spec.source)
+
+
+def satellite_rows(combined: DataFrame, spec: Satellite, as_of: str) -> DataFrame:
+    """Rows that the combined table offers to one attribute table."""
     now = F.lit(as_of).cast("timestamp")
-    return (
-        combined.filter(reduce(lambda a, b: a & b, guards))
-        .select(
-            *[F.col(c).alias(column) for column, c in spec.values.items()],
-            F.col("user_id").cast("int").alias("user_id"),
-            source.alias("source"),
-        )
-        .distinct()
-        .withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
-    )
+    values = [F.col(c).alias(column) for column, c in spec.values.items()]
+    rows = combined.filter(_offered(spec)).select(*values, F.col("user_id").cast("int").alias("user_id"), _source_of(spec).alias("source"))
+    return rows.distinct().withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
+
+
+def change_set(combined: DataFrame, specs: Sequence[Satellite], as_of: str) -> DataFrame:
+    """(satellite, user_id, key, values, source, created, modified, is_deleted) for all attribute tables, in one pass.
+
+    ``key`` is the value that, with the user, tells rows of a table apart; ``values`` maps the table's
+    columns to their values as text.
+    """
+    now = F.lit(as_of).cast("timestamp")
+    offers = []
+    for spec in specs:
+        values = F.create_map(*[x for column, c in spec.values.items() for x in (F.lit(column), F.col(c).cast("string"))])
+        row = F.struct(F.lit(spec.table).alias("satellite"), F.col(spec.values[spec.value_key]).cast("string").alias("key"), values.alias("values"), _source_of(spec).alias("source"))
+        offers.append(F.when(_offered(spec), row))
+    opened = combined.select(F.col("user_id").cast("int").alias("user_id"), F.explode(F.array_compact(F.array(*offers))).alias("o"))
+    rows = opened.select("o.satellite", "user_id", "o.key", "o.values", "o.source")
+    # equal offers are one; maps are compared as their sorted entries
+    rows = rows.withColumn("__entries", F.array_sort(F.map_entries("values"))).dropDuplicates(["satellite", "user_id", "key", "source", "__entries"]).drop("__entries")
+    return rows.withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
+
+
+def as_long(table: DataFrame, spec: Satellite) -> DataFrame:
+    """An attribute table in the form of the change set."""
+    values = F.create_map(*[x for c in spec.values for x in (F.lit(c), F.col(c).cast("string"))])
+    return table.select(
+        F.lit(spec.table).alias("satellite"), F.col("user_id").cast("int").alias("user_id"), F.col(spec.value_key).cast("string").alias("key"),
+        values.alias("values"), "source", F.col("created").cast("timestamp").alias("created"), F.col("modified").cast("timestamp").alias("modified"), "is_deleted",
+    )
+
+
+def merge_satellites(stored: dict[str, DataFrame], combined: DataFrame, as_of: str, specs: Sequence[Satellite]) -> dict[str, DataFrame]:
+    """All attribute tables after the run, out of one merge.
+
+    The tables are put together in long form, meet one change set in one upsert, and are told apart
+    again as they are written, each into a folder of its own; the tables handed back read theirs alone,
+    with the types they came with.
+    """
+    tables = [s for s in specs if s.table in stored]
+    long = reduce(DataFrame.unionByName, [as_long(stored[s.table], s) for s in tables])
+    merged = upsert(long, change_set(combined, tables, as_of), ["satellite", "user_id", "key"], ["values", "source", "modified"])
+    written = stage(merged, "satellites", "satellite")
+    out = {}
+    for spec in tables:
+        mine = written.filter(F.col("satellite") == spec.table)
+        kinds = {f.name: f.dataType for f in stored[spec.table].schema.fields}
+        column = lambda c, spec=spec: F.col("values")[c] if c in spec.values else F.col(c)
+        out[spec.table] = mine.select(*[column(c).cast(kinds[c]).alias(c) for c in stored[spec.table].columns])
+    return out
 
 
 def satellite_upsert(target: DataFrame, combined: DataFrame, spec: Satellite, as_of: str) -> DataFrame:

@@ -11,6 +11,7 @@ from sedimart.operators.joins import latest_version_join
 from sedimart.operators.merge import update_from
 from sedimart.operators.ranking import global_rank
 
+# Columns of the rating tables.
 MARKS = ["mark_weighted", "mark_kindness_weighted", "mark_clarity_weighted", "mark_freebie_weighted"]
 COMMENT_COLUMNS = [
     "create_ts", "update_ts", "subject", "text", "mark_kindness", "mark_freebie", "mark_clarity", "lecturer_id",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sedimart.functions.columns import shift_zone, stable_id
 from sedimart.operators.history import scd2_apply
 
-# column -> kind of each typed table; "ts" columns move to Moscow time
+# Column -> kind of each typed table; "ts" columns move to Moscow time
 TABLES = {
     "event": {"user_id": "", "admin_id": "", "session_id": "", "action_type": "", "details": "", "create_ts": "ts"},
     "item": {"type_id": "", "is_available": ""},

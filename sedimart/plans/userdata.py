@@ -8,7 +8,7 @@ from sedimart.functions.fixed import PROFILE_PARAMS
 from sedimart.operators.aggregates import eav_pivot
 from sedimart.operators.joins import member_join
 from sedimart.operators.merge import upsert
-from sedimart.operators.people import SATELLITES, combine, member_table, person_facts, satellite_upsert, user_table
+from sedimart.operators.people import SATELLITES, combine, member_table, merge_satellites, person_facts, user_table
 from sedimart.session import materialize
 
 
@@ -73,8 +73,7 @@ def refresh_satellites(
     """All attribute tables after the run.
 
     The resolved person table feeds every one of them, so it is computed once and kept in the
-    checkpoint folder.
+    checkpoint folder; one merge serves them all.
     """
     people = combine(user_table(person_facts(info, param, source)), member_table(members))
-    kept = materialize(people)
-    return {s.table: satellite_upsert(stored[s.table], kept, s, as_of) for s in SATELLITES if s.table in stored}
+    return merge_satellites(stored, materialize(people), as_of, SATELLITES)

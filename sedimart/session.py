@@ -51,13 +51,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", split_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
-    Later jobs read the files with column pruning and survive the loss of executors.
+    Later jobs read the files with column pruning and survive the loss of executors.  With
+    ``split_by``, each value of that column has a folder of its own, which readers of one value keep to.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(split_by) if split_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
