@@ -163,7 +163,7 @@ def write_archives(df: DataFrame, folder: str, key: str = "page_id", body: str =
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.sha2("body", 256)).withColumn("bytes", F.octet_length("body").cast("long"))
     ledger = stage(rows.select("key", "row", "digest", "bytes"), "ledger")
     lines = _with_firsts(rows, ledger, limit).mapInArrow(_written(segment, date), "value string")
-    lines.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", ROWS_A_FILE).text(folder)
+    lines.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", ROWS_A_FILE).text(folder)
     return folder
 
 
