@@ -16,6 +16,7 @@ from sedimart.session import stage
 
 #: Bytes of a record's block, of a chunk of the chunked body, and of records that are put into one row, at most.
 SEGMENT, CHUNK, ROW = 16_384, 4_096, 1 << 20
+TOGETHER = 64
 #: Rows of an archive file at most, so that one file holds about 16 MB of records.
 ROWS_A_FILE = 16
 #: Bytes of a payload that is worth a revisit, and payloads with copies whose first owners are sent to every task.
@@ -80,17 +81,17 @@ def _record(fields: dict[str, object], block: bytes) -> bytes:
 
 
 def records_of(page: dict, segment: int = SEGMENT, date: str = DATE) -> Iterator[bytes]:
-    """The records of one page (key, row, url, body, digest, bytes, first_key, first_row), without the blank lines after each."""
-    key, row = page["key"], page["row"]
+    """The records of one page (key, row, url, body, first_key, first_row), without the blank lines after each."""
+    key, row, body = page["key"], page["row"], page["body"].encode()
     uri = None if page["url"] is None else urllib.parse.quote(page["url"], safe="!#$%&'()*+,/:;=?@[]~\"<>\\^`{|}")
     common = {"WARC-Date": date, "WARC-Target-URI": uri, "Page-ID": key}
-    digest = f"sha256:{page['digest']}"
+    digest = f"sha256:{hashlib.sha256(body).hexdigest()}"
     if page["first_row"] is not None:
         fields = {"WARC-Type": "revisit", "WARC-Record-ID": _record_id(key, row), **common, "WARC-Payload-Digest": digest, "WARC-Profile": PROFILE}
         fields |= {"WARC-Refers-To": _record_id(page["first_key"], page["first_row"]), "Refers-To-Page-ID": page["first_key"], "Content-Type": "application/http; msgtype=response"}
-        yield _record(fields, f"{HTTP}Content-Length: {page['bytes']}\r\n\r\n".encode())
+        yield _record(fields, f"{HTTP}Content-Length: {len(body)}\r\n\r\n".encode())
         return
-    block = f"{HTTP}Transfer-Encoding: chunked\r\n\r\n".encode() + chunked(page["body"].encode())
+    block = f"{HTTP}Transfer-Encoding: chunked\r\n\r\n".encode() + chunked(body)
     pieces = list(_cut(block, segment))
     for n, piece in enumerate(pieces, 1):
         if n == 1:
@@ -106,41 +107,52 @@ def _written(segment: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for at in range(batch.num_rows):
-                for record in records_of(batch.slice(at, 1).to_pylist()[0], segment, date):
-                    held.append(record)
-                    size += len(record)
-                    if size >= ROW:
-                        yield pa.RecordBatch.from_arrays([pa.array([END.encode().join(held)]).cast(pa.string())], ["value"])
-                        held, size = [], 0
+            for at in range(0, batch.num_rows, TOGETHER):
+                for page in batch.slice(at, TOGETHER).to_pylist():
+                    for record in records_of(page, segment, date):
+                        held.append(record)
+                        size += len(record)
+                        if size >= ROW:
+                            yield pa.RecordBatch.from_arrays([pa.array([END.encode().join(held)]).cast(pa.string())], ["value"])
+                            held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([END.encode().join(held)]).cast(pa.string())], ["value"])
 
     return run
 
 
-def _with_firsts(rows: DataFrame, ledger: DataFrame, limit: int) -> DataFrame:
-    """``rows`` with (first_key, first_row) of the smallest key of their payload, where another row has that.
+def _with_firsts(rows: DataFrame, limit: int) -> DataFrame:
+    """``rows`` (key, row, url, body) with (first_key, first_row) of the smallest key of their payload, where another row has that.
 
-    Counts by payload are summed before they are shuffled. If few payloads have copies, their first
-    owners are broadcast. Otherwise only those of payloads that hold more than a thousandth of all rows
-    are, of which there are fewer than a thousand, and the rest meet by a shuffle, in which rows that
-    are settled by then are spread evenly.
+    One pass counts payloads by a quick hash and their length. Only of those that may have copies digests
+    are taken and first owners found; counts are summed before they are shuffled. If few payloads have
+    copies, their first owners are broadcast. Otherwise only those of payloads that hold more than a
+    thousandth of all rows are, of which there are fewer than a thousand, and the rest meet by a
+    shuffle, in which rows that are settled by then are spread evenly.
     """
+    nothing = {"first_key": F.lit(None).cast("long"), "first_row": F.lit(None).cast("long")}
+    size = F.octet_length("body")
+    quick = rows.select(F.xxhash64("body").alias("quick"), size.alias("bytes")).groupBy("quick", "bytes").agg(F.count("*").alias("n"))
+    quick = stage(quick.filter((F.col("n") > 1) & (F.col("bytes") >= LEAST)), "quick")
+    if quick.isEmpty():
+        return rows.withColumns(nothing)
+    likely = rows.join(quick.select("quick", "bytes"), (F.xxhash64("body") == F.col("quick")) & (size == F.col("bytes")), "left_semi")
+    ledger = likely.select("key", "row", F.sha2("body", 256).alias("digest"))
     first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "row")).alias("first")
-    owners = ledger.filter(F.col("bytes") >= LEAST).groupBy("digest").agg(first, F.count("*").alias("n")).filter("n > 1")
+    owners = ledger.groupBy("digest").agg(first, F.count("*").alias("n")).filter("n > 1")
     owners = stage(owners.select("digest", "n", F.col("first.key").alias("first_key"), F.col("first.row").alias("first_row")), "owners")
+    rows = rows.withColumn("digest", F.sha2("body", 256))
     if owners.count() <= limit:
         met = rows.join(F.broadcast(owners.drop("n")), "digest", "left")
     else:
-        often = F.col("n") * 1000 > ledger.count()
+        often = F.col("n") * 1000 > rows.count()
         hot = owners.filter(often).select(F.col("digest").alias("hot"), F.col("first_key").alias("hot_key"), F.col("first_row").alias("hot_row"))
         cold = owners.filter(~often).select(F.col("digest").alias("at"), "first_key", "first_row")
         met = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left")
         met = met.withColumn("at", F.when(F.col("hot").isNull(), F.col("digest")).otherwise(F.concat(F.lit("-"), F.col("row").cast("string"))))
         met = met.join(cold, "at", "left").withColumn("first_key", F.coalesce("hot_key", "first_key")).withColumn("first_row", F.coalesce("hot_row", "first_row"))
-    own = F.col("first_row") == F.col("row")
-    return met.select("key", "row", "url", "body", "digest", "bytes", F.when(~own, F.col("first_key")).alias("first_key"), F.when(~own, F.col("first_row")).alias("first_row"))
+    other = F.col("first_row") != F.col("row")
+    return met.select("key", "row", "url", "body", F.when(other, F.col("first_key")).alias("first_key"), F.when(other, F.col("first_row")).alias("first_row"))
 
 
 def write_archives(df: DataFrame, folder: str, key: str = "page_id", body: str = "html", url: str = "url", segment: int = SEGMENT, date: str = DATE, limit: int = BROADCAST) -> str:
@@ -160,9 +172,7 @@ def write_archives(df: DataFrame, folder: str, key: str = "page_id", body: str =
     """
     target = F.col(url) if url in df.columns else F.lit(None)
     rows = df.select(F.col(key).cast("long").alias("key"), target.cast("string").alias("url"), F.coalesce(F.col(body), F.lit("")).alias("body"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.sha2("body", 256)).withColumn("bytes", F.octet_length("body").cast("long"))
-    ledger = stage(rows.select("key", "row", "digest", "bytes"), "ledger")
-    lines = _with_firsts(rows, ledger, limit).mapInArrow(_written(segment, date), "value string")
+    lines = _with_firsts(rows.withColumn("row", F.monotonically_increasing_id()), limit).mapInArrow(_written(segment, date), "value string")
     lines.write.option("lineSep", END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", ROWS_A_FILE).text(folder)
     return folder
 
@@ -184,8 +194,10 @@ def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         end = data.find(b"\r\n\r\n", at)
         if not data.startswith(b"WARC/", at) or end < 0:
             raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(":", 1) for line in data[at:end].decode().split("\r\n")[1:])
-        fields = {name.strip().lower(): value.strip() for name, value in fields.items()}
+        fields = {}
+        for line in data[at:end].decode().split("\r\n")[1:]:
+            name, _, value = line.partition(":")
+            fields[name.strip().lower()] = value.strip()
         length = int(fields["content-length"])
         block = data[end + 4 : end + 4 + length]
         at = end + 4 + length
@@ -285,8 +297,8 @@ def _piece(whole: bool):
 def _joined(whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = batch.slice(at, 64).to_pylist()
+            for at in range(0, batch.num_rows, TOGETHER):
+                rows = batch.slice(at, TOGETHER).to_pylist()
                 yield pa.RecordBatch.from_pylist([_page(r | (r["head"] or {"type": None, "page_id": None, "digest": None}) | {"refers_to": None, "refers_to_page": None}, whole) for r in rows], _PAGES)
 
     return run
