@@ -14,19 +14,30 @@ from sedimart.llm.shingles import mix, shingle_sets
 from sedimart.session import stage
 
 WORDS, PERCENT = 5, 80
-#: Levels that tokens fall into by their hash. All orders put lower levels first, so that most texts
-#: need to show only their tokens of the first one.
-LEVELS = 4
+#: Counters that tokens fall into by their hash, and how often a task must meet one to report it. Tokens
+#: of reported counters come last in the first order, the more often the later.
+COUNTERS, OFTEN = 1 << 22, 8
 #: Rounds in which every token's texts are held against one of them, before all pairs that are left.
 PIVOTS = 4
 #: Words of 64 bits in a set's signature.
 SIGNATURE = 4
 SIGNED = [f"sign{i}" for i in range(SIGNATURE)]
+#: The orders by hash alone, with their salts.
+ORDERS = {"second": 6, "third": 7}
 TOGETHER = 100
 
 
-def _levels(shingles: np.ndarray) -> np.ndarray:
-    return (mix(shingles, 5) % np.uint64(LEVELS)).astype(np.int64)
+def _batch(kinds: str, columns: dict) -> pa.RecordBatch:
+    """A batch whose columns stand in the order of ``kinds``, as Spark takes them by place."""
+    names = [k.split(" ")[0].strip("`") for k in kinds.split(", ")]
+    if set(names) != set(columns):
+        raise ValueError(f"columns {list(columns)} are not {names}")
+    arrays = [c if isinstance(c := columns[n], (pa.Array, pa.ChunkedArray)) else pa.array(c) for n in names]
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles, 9) % np.uint64(COUNTERS)).astype(np.int64)
 
 
 def prefix_length(size, percent: int):
@@ -52,44 +63,57 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
-def _described(n: int, carry: Sequence[str] = ()):
+def _firsts(shingles: np.ndarray, percent: int, salt: int, counts: np.ndarray | None = None) -> np.ndarray:
+    """The prefix of a set under the order by (count, hash)."""
+    order = np.lexsort((mix(shingles, salt), counts[_counter(shingles)])) if counts is not None else np.argsort(mix(shingles, salt))
+    return shingles[order[: prefix_length(len(shingles), percent)]]
+
+
+def _described(n: int, percent: int, kinds: str, carry: Sequence[str] = ()):
+    """Each text's set in short, and, in rows of their own in the end, the counters that the task met often.
+
+    ``second`` and ``third`` are the prefixes under the orders by hash, each token as 16 bits. A set is
+    counted once for all its copies in the task.
+    """
+    blank = [c for c in ("key", "size", "node", *SIGNED, *ORDERS, *carry)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen, schema = np.zeros(COUNTERS, np.uint32), set(), None
         for part, sets in _sets(batches, n):
-            levels = np.array([np.bincount(_levels(s), minlength=LEVELS) for s in sets]).reshape(-1, LEVELS)
             signs = np.array([_signature(s) for s in sets]).reshape(-1, SIGNATURE)
-            node = pa.array([_digest(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_pydict({c: part[c] for c in ("key", *carry)} | {"size": pa.array(map(len, sets), pa.int64()), "node": node} | {f"level{i}": levels[:, i] for i in range(LEVELS)} | {c: signs[:, i] for i, c in enumerate(SIGNED)})
+            nodes = [_digest(s) if len(s) else None for s in sets]
+            marks = {c: pa.array([np.unique(mix(_firsts(s, percent, salt), 3).astype(np.uint16)).view(np.int16) if len(s) else None for s in sets], pa.list_(pa.int16())) for c, salt in ORDERS.items()}
+            new = [s for s, node in zip(sets, nodes, strict=True) if node is not None and node not in seen and not seen.add(node)]
+            if new:
+                met, times = np.unique(_counter(np.concatenate(new)), return_counts=True)
+                counts[met] += times.astype(np.uint32)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            columns = {"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": pa.array(nodes, pa.int64())}
+            columns |= {c: signs[:, i] for i, c in enumerate(SIGNED)} | marks | {c: part[c] for c in carry}
+            nothing = pa.nulls(len(sets), pa.int64())
+            batch = _batch(kinds, columns | {"counter": nothing, "times": nothing})
+            schema = batch.schema
+            yield batch
+        often = np.flatnonzero(counts >= OFTEN)
+        if len(often):
+            none = {c: pa.nulls(len(often), schema.field(c).type) for c in blank}
+            yield _batch(kinds, none | {"counter": pa.array(often), "times": pa.array(counts[often].astype(np.int64))})
 
     return run
 
 
-def _shown(n: int, percent: int):
-    """The tokens of each text that may be in its prefix: those of the lowest levels that hold enough.
-
-    Besides the order by frequency, which is yet unknown, there are two by hash; for these the
-    token's place shows here whether it is in the prefix.
-    """
+def _shown(n: int, percent: int, often: tuple[np.ndarray, np.ndarray]):
+    """The tokens of each text's prefix under the first order: those of seldom counters first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        counts[often[0]] = often[1]
         for _, sets in _sets(batches, n):
-            tokens, sizes, second, third = [], [], [], []
-            for s in sets:
-                if not len(s):
-                    continue
-                need = prefix_length(len(s), percent)
-                level = _levels(s)
-                last = int(np.searchsorted(np.cumsum(np.bincount(level, minlength=LEVELS)), need))
-                s, level = s[level <= last], level[level <= last]
-                tokens.append(s)
-                sizes.append(len(s))
-                for salt, out in ((6, second), (7, third)):
-                    place = np.empty(len(s), np.int64)
-                    place[np.lexsort((mix(s, salt), level))] = np.arange(len(s))
-                    out.append(place < need)
-            if tokens:
-                owner = np.repeat([_digest(s) for s in sets if len(s)], sizes)
-                flat = np.concatenate(tokens)
-                yield pa.RecordBatch.from_pydict({"token": flat.view(np.int64), "node": owner, "level": _levels(flat).astype(np.int32), "second": np.concatenate(second), "third": np.concatenate(third)})
+            firsts = {_digest(s): _firsts(s, percent, 5, counts) for s in sets if len(s)}
+            if firsts:
+                owner = np.repeat(np.array(list(firsts), np.int64), [len(f) for f in firsts.values()])
+                yield _batch("token long, node long", {"token": np.concatenate(list(firsts.values())).view(np.int64), "node": owner})
 
     return run
 
@@ -138,7 +162,7 @@ def _verified(n: int, percent: int):
                     s, t = recent[a], recent[b]
                     both = len(np.intersect1d(s, t, assume_unique=True))
                     linked.append(100 * both >= percent * (len(s) + len(t) - both))
-                yield pa.RecordBatch.from_pydict({"a": part["a"], "b": part["b"]}).filter(pa.array(linked))
+                yield _batch("a long, b long", {"a": part["a"], "b": part["b"]}).filter(pa.array(linked))
 
     return run
 
@@ -149,44 +173,27 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, carry: Sequence[str] = ()):
         """``docs`` has key, text and the columns of ``carry``."""
         self.n, self.percent = n, percent
-        kinds = "key long, size long, node long" + "".join(f", level{i} long" for i in range(LEVELS)) + "".join(f", {c} long" for c in SIGNED)
-        kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-        self.rows = stage(docs.mapInArrow(_described(n, carry), kinds), "described")
-        one = [F.first(c).alias(c) for c in ("size", *(f"level{i}" for i in range(LEVELS)), *SIGNED)]
-        self.nodes = stage(self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one), "nodes")
-        self.shown = stage(self._prefixes(docs), "prefixes")
-        self.prefixes = self.shown.select(F.explode("tokens").alias("token"), "node", "size", *SIGNED)
-        met = self.prefixes.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
-        wanted = self.prefixes.join(met, "token").select("node").distinct()
-        keys = wanted.join(self.nodes, "node").select("key").distinct()
+        kinds = "key long, size long, node long, " + ", ".join(f"{c} long" for c in SIGNED) + "".join(f", {c} array<smallint>" for c in ORDERS)
+        kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", counter long, times long"
+        described = stage(docs.mapInArrow(_described(n, percent, kinds, carry), kinds), "described")
+        self.rows = described.filter("counter is null").drop("counter", "times")
+        one = [F.first(c).alias(c) for c in ("size", *SIGNED, *ORDERS)]
+        nodes = self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one)
+        self.nodes = stage(nodes.withColumn("band", _band("size", percent)), "nodes")
+        # one row for each counter at most
+        often = described.filter("counter is not null").groupBy("counter").agg(F.sum("times").alias("times")).toArrow()
+        often = tuple(often[c].to_numpy() for c in ("counter", "times"))
+        shown = docs.mapInArrow(_shown(n, percent, often), "token long, node long")
+        ends = shown.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
+        met = shown.join(ends, "token").dropDuplicates(["token", "node"])
+        self.prefixes = stage(met.join(self.nodes.select("node", "size", "band", *SIGNED), "node"), "prefixes")
+        wanted = self.prefixes.select("node").distinct()
+        keys = self.nodes.join(wanted, "node", "left_semi").select("key").distinct()
         # a key may stand for several texts: the digest of each says whose it is
         found = docs.join(keys, docs["key"].eqNullSafe(keys["key"]), "left_semi").mapInArrow(_noded(n), "node long, text string")
         self.texts = stage(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
         self.links: DataFrame | None = None
 
-    def _prefixes(self, docs: DataFrame) -> DataFrame:
-        """(node, size, signature, tokens, second, third): prefixes under the first order, rare tokens before frequent ones.
-
-        Tokens of one set only can't meet another and are left out; they take the first places of
-        their level. What is left of a set is sorted by (level, frequency, token).
-        """
-        shown = docs.mapInArrow(_shown(self.n, self.percent), "token long, node long, level int, second boolean, third boolean")
-        counts = shown.groupBy("token").agg(F.count("*").alias("often"), F.min("node").alias("x"), F.max("node").alias("y"))
-        useful = counts.filter("x != y").select("token", "often")
-        token = F.struct("level", "often", "token", "second", "third")
-        tokens = shown.join(useful, "token").groupBy("node").agg(F.sort_array(F.collect_set(token)).alias("tokens"))
-        tokens = tokens.join(self.nodes, "node")
-        need = (F.col("size") - F.floor((self.percent * F.col("size") + 99) / 100) + 1).cast("int")
-        of_level = lambda i: F.filter("tokens", lambda t: t["level"] == i)
-        before, parts = F.lit(0), []
-        for i in range(LEVELS):
-            own = of_level(i)
-            room = need - before - (F.col(f"level{i}").cast("int") - F.size(own))
-            parts.append(F.slice(own, 1, F.greatest(F.lit(0), room)))
-            before = before + F.col(f"level{i}").cast("int")
-        marked = lambda c: F.filter("tokens", lambda t: t[c])["token"].alias(c)
-        return tokens.select("node", "size", *SIGNED, F.concat(*parts)["token"].alias("tokens"), marked("second"), marked("third"))
-
     def _labelled(self) -> DataFrame:
         if self.links is None:
             return self.prefixes.withColumn("label", F.col("node"))
@@ -209,10 +216,10 @@ class Join:
         """Verify the pairs (a, b) on their whole sets and keep those that link."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # the other orders: both must share a token of the prefix under each of them
-        marks = self.shown.select("node", "second", "third")
         for side in "ab":
-            pairs = pairs.join(marks.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("second", "third")]), side)
-        pairs = pairs.filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")).select("a", "b")
+            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
+        shared = [F.arrays_overlap(f"{c}_a", f"{c}_b") for c in ORDERS]
+        pairs = pairs.filter(functools.reduce(operator.and_, shared)).select("a", "b")
         for side in "ba":
             pairs = pairs.join(self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
         found = stage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")
@@ -233,19 +240,32 @@ class Join:
         self._add(pairs)
 
     def against_all(self) -> None:
-        """All pairs of a token's sets that are not in one group by now."""
+        """All pairs of a token's sets that are not in one group by now, and of sizes that may link.
+
+        Sets that link lie in one band of sizes or in two that touch, so a set meets those of its own
+        band and of the next.
+        """
         labelled = stage(self._labelled(), "labelled")
         split = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("token")
         left = labelled.join(split, "token")
-        right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label", *SIGNED)])
-        met = left.join(right, "token").filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & self._fit(F.col, lambda c: F.col(f"{c}_b")))
+        names = ("node", "size", "label", *SIGNED)
+        right = left.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), F.col("band").alias("band_b"), *[F.col(c).alias(f"{c}_b") for c in names])
+        apart = ((F.col("band") != F.col("band_b")) | (F.col("node") < F.col("node_b"))) & (F.col("label") != F.col("label_b"))
+        met = left.join(right, ["token", "band"]).filter(apart & self._fit(F.col, lambda c: F.col(f"{c}_b")))
         self._add(met.select(F.col("node").alias("a"), F.col("node_b").alias("b")))
 
 
+def _band(size: str, percent: int) -> Column:
+    """Sizes of one band, or of two that touch, are all that may link: a band ends where the sizes have grown by 100 / percent."""
+    if percent >= 100:
+        return F.col(size).cast("int")
+    return F.floor(F.log(F.col(size).cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)).cast("int")
+
+
 def _noded(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, n):
-            yield pa.RecordBatch.from_pydict({"node": pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()), "text": part["text"]})
+            yield _batch("node long, text string", {"node": pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()), "text": part["text"]})
 
     return run
 
@@ -260,13 +280,14 @@ def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     words it is empty and linked with nothing. Two sets link if 100 * common >= percent * union.
 
     Documents of equal sets become one node. Under any one order of all tokens, two sets that link
-    share a token among the first of each. The first order has rare tokens before frequent ones;
-    tokens of one set alone never leave the count. Candidates share a prefix token under it, and
-    under two more orders by hash. A token that many sets show would make all pairs of them, so
-    they are first held against pivots; sets that links have joined by then are not paired again,
-    and the last pass pairs whatever still lies in different groups, so no link between groups is
-    lost. Before a pair is made, sizes and signatures of 256 bits must allow a link; this loses none.
-    Every candidate is verified on the whole sets. Tokens are 64-bit hashes, as are nodes.
+    share a token among the first of each. The first order has seldom tokens before frequent ones, by a
+    table of counters of fixed size; tokens of one set alone never meet another. Candidates share a
+    prefix token under it, and under two more orders by hash, whose prefixes each set carries in short.
+    A token that many sets show would make all pairs of them, so they are first held against pivots;
+    sets that links have joined by then are not paired again, and the last pass pairs whatever still
+    lies in different groups, by bands of size, so no link between groups is lost. Before a pair is made,
+    sizes and signatures of 256 bits must allow a link; this loses none. Every candidate is verified
+    on the whole sets. Tokens are 64-bit hashes, as are nodes.
 
     Null and empty texts have no words. Rows of one key are rows of their own; null keys do not
     count as smallest, unless a group has no other. Other columns are not read. An empty table gives

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sedimart.llm.shingles import long_runs, runs, word_hashes
+from sedimart.session import stage
 
 #: Words of a passage at least; words of the minimisers' grams; positions of which the least gram is retained.
 PASSAGE, GRAM, STRETCH = 50, 8, 16
@@ -122,9 +123,7 @@ def repeated_windows(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     ordered = suffixes.repartition("head").sortWithinPartitions("head", "doc", "at")
     alike = ordered.mapInArrow(_neighbours("head"), "doc long, at int, head long, first boolean")
     places = alike.groupBy("doc").agg(F.collect_list("at").alias("at"))
-    # rows of one key and text are one document
-    once = docs.join(places, "doc").select("key", "doc", "text", "at").dropDuplicates(["doc"])
-    windows = once.mapInArrow(_windows(passage), "key long, doc long, start int, window long")
+    windows = docs.join(places, "doc").select("key", "doc", "text", "at").mapInArrow(_windows(passage), "key long, doc long, start int, window long")
     ordered = windows.repartition("window").sortWithinPartitions("window", F.col("key").asc_nulls_last(), "doc", "start")
     again = ordered.mapInArrow(_neighbours("window", "key"), "key long, doc long, start int, window long, first boolean, copy_of long")
     return again.select("key", "doc", "start", "first", "copy_of")
@@ -143,9 +142,11 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", pa
     that share their first words point to the passages around them. These are extended to the left
     and right, and their windows sorted and compared in turn. A row only ever meets its
     neighbours, so any number of copies costs no more than their length. Null, empty and short texts
-    have no passages; rows of equal key and text are one document. Other columns are not read.
+    have no passages; rows of one key, equal ones too, are documents of their own, in the order in
+    which they are read, and ``doc`` is their number. Row numbers must come out alike when ``df`` is
+    read twice, as they do for files. Other columns are not read.
     """
-    docs = df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("doc"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).cast("long").alias("key"), F.monotonically_increasing_id().alias("doc"), F.col(text).alias("text"))
     found = repeated_windows(docs, passage)
     order = Window.partitionBy("doc", "first").orderBy("start")
     apart = F.coalesce(F.col("start") > F.lag("start").over(order) + passage, F.lit(True)).cast("int")
@@ -156,38 +157,52 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", pa
     )
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch["__text"].to_pylist()
-        spans = batch["__spans"].to_pylist()
-        rest = []
-        for text, cut in zip(texts, spans, strict=True):
-            if cut:
-                raw = text.encode()
-                _, _, begin, end = word_hashes([raw])
-                keep = np.ones(len(raw), dtype=bool)
-                for span in cut:
-                    last = span["start_word"] + span["n_words"]
-                    keep[begin[span["start_word"]] : begin[last] if last < len(begin) else end[last - 1]] = False
-                text = np.frombuffer(raw, np.uint8)[keep].tobytes().decode()
-            rest.append(text)
-        kept = {c: batch[c] for c in batch.schema.names if c not in ("__text", "__spans")}
-        yield pa.RecordBatch.from_pydict(kept | {"__rest": pa.array(rest, pa.string())})
+def _without(text: str, spans: str, rest: str, schema: pa.Schema):
+    """Rows with ``rest`` in place of the text and the spans that are cut from it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for body, cut in zip(batch[text].to_pylist(), batch[spans].to_pylist(), strict=True):
+                if cut:
+                    raw = body.encode()
+                    _, _, begin, end = word_hashes([raw])
+                    keep = np.ones(len(raw), dtype=bool)
+                    for span in cut:
+                        last = span["start_word"] + span["n_words"]
+                        keep[begin[span["start_word"]] : begin[last] if last < len(begin) else end[last - 1]] = False
+                    body = np.frombuffer(raw, np.uint8)[keep].tobytes().decode()
+                out.append(body)
+            made = {rest: pa.array(out, pa.string())}
+            yield pa.RecordBatch.from_arrays([made[n] if n in made else batch[n] for n in schema.names], schema.names)
+
+    return run
+
+
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with a mark more for each column of ``df`` that has them already."""
+    out = []
+    for name in names:
+        while name in df.columns:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def drop_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", passage: int = PASSAGE) -> DataFrame:
     """The table with every repeated passage cut from its text, but for the first occurrence of each.
 
-    Documents that are left without a word by the cuts go; all others keep their other columns.
+    Documents that are left without a word by the cuts go; all others keep their other columns, and null
+    and empty texts stay as they are. Of repeated rows the first keeps its passages. The passages are
+    found once and written; then one pass over the table cuts them. Row numbers must come out alike
+    when ``df`` is read twice, as they do for files. An empty table stays empty, and helper columns step
+    aside for columns of the same name.
     """
+    row, spans, rest, of = _free(df, "__row", "__spans", "__rest", "__of")
     cuts = repeated_passages(df, key, text, passage).filter(~F.col("first"))
-    cuts = cuts.groupBy(F.col("doc").alias("__of")).agg(F.collect_list(F.struct("start_word", "n_words")).alias("__spans"))
-    marked = df.withColumn("__doc", F.xxhash64(F.col(key), F.col(text)))
-    joined = marked.join(cuts, F.col("__doc") == F.col("__of"), "left").drop("__doc", "__of")
-    body = joined.withColumnRenamed(text, "__text")
-    fields = [f for f in joined.schema.fields if f.name not in (text, "__spans")]
-    schema = joined.select(*[f"`{f.name}`" for f in fields]).withColumn("__rest", F.lit("")).schema
-    done = body.select(*[f"`{f.name}`" for f in fields], "__text", "__spans")
-    cut = done.filter("__spans is not null").mapInArrow(_without, schema).filter(F.col("__rest").rlike(r"[^\x20\x09-\x0D]"))
-    whole = done.filter("__spans is null").drop("__spans").withColumnRenamed("__text", "__rest")
-    return whole.unionByName(cut).withColumnRenamed("__rest", text).select(*[f"`{c}`" for c in df.columns])
+    cuts = stage(cuts.groupBy(F.col("doc").alias(of)).agg(F.collect_list(F.struct("start_word", "n_words")).alias(spans)), "cuts")
+    joined = df.withColumn(row, F.monotonically_increasing_id()).join(cuts, F.col(row) == F.col(of), "left").drop(row, of)
+    schema = joined.withColumn(rest, F.lit(None).cast("string")).drop(text).schema
+    done = joined.mapInArrow(_without(text, spans, rest, pa.schema([(n, pa.null()) for n in schema.names])), schema)
+    kept = done.filter(F.col(spans).isNull() | F.col(rest).rlike(r"[^\x20\x09-\x0D]"))
+    return kept.withColumnRenamed(rest, text).select(*[f"`{c}`" for c in df.columns])

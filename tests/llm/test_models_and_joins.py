@@ -281,8 +281,13 @@ def test_cut_texts_keep_first_occurrences(spark, passages):
 def test_passages_of_no_rows_and_repeated_rows(spark):
     text = " ".join(f"w{i}" for i in range(80))
     assert suffixes.repeated_passages(table(spark, [])).count() == 0
-    assert suffixes.repeated_passages(table(spark, [(1, text), (1, text)])).count() == 0
-    assert suffixes.drop_repeats(table(spark, [(1, text), (1, text)])).count() == 2
+    twice = table(spark, [(1, text), (1, text), (2, "short"), (3, None)])
+    got = sorted((r.doc_id, r.start_word, r.n_words, r.first, r.copy_of) for r in suffixes.repeated_passages(twice).collect())
+    assert got == [(1, 0, 80, False, 1), (1, 0, 80, True, 1)]
+    clashing = twice.withColumns({c: F.lit("clash") for c in ("__row", "__spans", "__rest", "__of", "__text", "__doc", "doc", "first")})
+    rest = suffixes.drop_repeats(clashing)
+    assert rest.columns == clashing.columns and sorted((r.doc_id, r.text, r["__rest"]) for r in rest.filter("text is not null").collect()) == [(1, text, "clash"), (2, "short", "clash")]
+    assert suffixes.drop_repeats(table(spark, [])).count() == 0
 
 
 # --- pipeline
