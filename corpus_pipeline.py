@@ -14,26 +14,29 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, langid.learn(docs))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The table with a number of its own for each row, written so that all readers see the same ones."""
-    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The table with a number for each row, under a name that is free: the same one whenever these files are read."""
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
 def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs stay, each row by itself."""
-    rows = numbered(docs)
-    judged = quality.judge_quality(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=["__row"])
-    return rows.join(judged.filter("not kept").select("__row"), "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rows, row = numbered(docs)
+    judged = quality.judge_quality(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=[row])
+    return rows.join(judged.filter("not kept").select(row), row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row stays, of the smallest id (null ids last); rows without words stay."""
-    rows = numbered(docs)
-    groups = stage(jaccard.link_groups(rows, carry=["__row"], group=True), "groups").filter("group is not null")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    stays = groups.groupBy("group").agg(F.min(place)["__row"].alias("stays"))
-    further = groups.join(stays, "group").filter("__row != stays").select("__row")
-    return rows.join(further, "__row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rows, row = numbered(docs)
+    groups = stage(jaccard.link_groups(rows, carry=[row], group=True), "groups").filter("group is not null")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    stays = groups.groupBy("group").agg(F.min(place)[row].alias("stays"))
+    further = groups.join(stays, "group").filter(F.col(row) != F.col("stays")).select(row)
+    return rows.join(further, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
