@@ -236,7 +236,7 @@ def _(t: Tables) -> DataFrame:
     "json_functions",
     """
 SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS next,
-       json_extract_string(props, '$.missing') AS missing, 'OBJECT' AS kind, '{"id":' || event_id || '}' AS packed
+       json_extract_string(props, '$.missing') AS missing, CASE WHEN event_id % 2 = 0 THEN 'OBJECT' ELSE 'ARRAY<' END AS kind, '{"id":' || event_id || '}' AS packed
 FROM events""",
 )
 def _(t: Tables) -> DataFrame:
@@ -246,7 +246,7 @@ def _(t: Tables) -> DataFrame:
         F.variant_get(doc, "$.k", "string").alias("k"),
         (F.variant_get(doc, "$.k", "int") + 1).alias("next"),
         F.variant_get(doc, "$.missing", "string").alias("missing"),
-        F.substring(F.schema_of_variant(doc), 1, 6).alias("kind"),
+        F.substring(F.schema_of_variant(F.parse_json(F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise("[1]"))), 1, 6).alias("kind"),
         F.to_json(F.struct(F.col("event_id").alias("id"))).alias("packed"),
     )
 

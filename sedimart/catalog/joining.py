@@ -305,8 +305,7 @@ def _(t: Tables) -> DataFrame:
         t.customer, "c_custkey", always, lecturer_first_name=F.lit("a"),
         lecturer_middle_name=F.col("c_mktsegment"), lecturer_last_name=F.col("c_name"),
     )
-    # several lines share an id, so the links hold each id once
-    link = lambda df, key, out: df.select(F.col("id").alias("event_id"), F.col(key).alias(out)).distinct()
+    link = lambda df, key, out: df.select(F.col("id").alias("event_id"), F.col(key).alias(out))
     # the part and the supplier belong to the line: make the ids of the lines tell them apart
     unique = events.withColumn("id", F.concat_ws("/", "id", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")))
     to_customer = unique.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
@@ -392,33 +391,49 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "rental_fanout",
-    """
-WITH strike AS (SELECT l_orderkey, l_returnflag AS reason, l_shipdate AS at FROM lineitem)
-SELECT l.l_orderkey AS user_id, l.l_partkey AS item_id, p.p_size AS type_id, r.n_name AS name, o.o_custkey AS admin_strike_id,
-       s.reason AS strike_reason, strftime(s.at, '%Y-%m-%d') AS strike_date
-FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN nation r ON r.n_nationkey = p.p_size
-LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN strike s ON s.l_orderkey = l.l_orderkey""",
-)
-def _(t: Tables) -> DataFrame:
+_RENTAL_SQL = """
+WITH strike AS (SELECT c_custkey AS user_id, c_mktsegment AS reason, c_nationkey AS at FROM customer UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier),
+session AS (SELECT o_custkey AS user_id, o_orderkey AS item_id, p_size AS type_id, n_name AS name, o_orderstatus AS status
+  FROM orders LEFT JOIN part ON o_orderkey = p_partkey LEFT JOIN nation ON n_nationkey = p_size)
+"""
+
+
+def _rental(t: Tables) -> tuple[DataFrame, ...]:
+    """Orders as sessions and as events of their customer, who has one strike or two."""
     none = F.lit(None)
-    sessions = t.lineitem.select(
-        none.cast("string").alias("uuid"), F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
+    sessions = t.orders.select(
+        none.cast("string").alias("uuid"), F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("item_id"),
         none.cast("int").alias("admin_open_id"), none.cast("int").alias("admin_close_id"),
-        *[F.col("l_shipdate").alias(c) for c in ("reservation_ts", "start_ts", "end_ts", "actual_return_ts")],
-        F.col("l_linestatus").alias("status"),
+        *[F.col("o_orderdate").alias(c) for c in ("reservation_ts", "start_ts", "end_ts", "actual_return_ts")],
+        F.col("o_orderstatus").alias("status"),
     )
     items = t.part.select(F.col("p_partkey").alias("api_id"), F.col("p_size").alias("type_id"))
     types = t.nation.select(
         F.col("n_nationkey").alias("api_id"), F.col("n_name").alias("name"),
         none.cast("string").alias("image_url"), none.cast("string").alias("description"),
     )
-    events = t.orders.select(F.col("o_orderkey").alias("user_id"), F.lit(1).alias("session_id"), F.col("o_custkey").alias("admin_id"))
-    strikes = t.lineitem.select(
-        F.col("l_orderkey").alias("user_id"), F.col("l_returnflag").alias("reason"), F.col("l_shipdate").alias("create_ts")
-    )
-    mart = rentals_mart(sessions, items, types, events, strikes)
-    return mart.select(
-        "user_id", "item_id", "type_id", "name", "admin_strike_id", "strike_reason", day("strike_date").alias("strike_date")
-    )
+    events = t.orders.select(F.col("o_custkey").alias("user_id"), F.lit(1).alias("session_id"), F.col("o_orderkey").alias("admin_id"))
+    strike = lambda df, *cols: df.select(*[F.col(c).alias(out) for c, out in zip(cols, ("user_id", "reason", "create_ts"), strict=True)])
+    strikes = strike(t.customer, "c_custkey", "c_mktsegment", "c_nationkey").unionByName(strike(t.supplier, "s_suppkey", "s_name", "s_nationkey"))
+    return sessions, items, types, events, strikes
+
+
+@query(
+    "rental_fanout",
+    _RENTAL_SQL
+    + """SELECT s.user_id, item_id, type_id, name, status, e.o_orderkey AS admin_strike_id, k.reason AS strike_reason, k.at AS strike_date
+FROM session s LEFT JOIN orders e ON e.o_custkey = s.user_id LEFT JOIN strike k ON k.user_id = s.user_id""",
+)
+def _(t: Tables) -> DataFrame:
+    mart = rentals_mart(*_rental(t), compat=True)
+    return mart.select("user_id", "item_id", "type_id", "name", "status", "admin_strike_id", "strike_reason", "strike_date")
+
+
+@query(
+    "rental_factors",
+    _RENTAL_SQL
+    + """SELECT s.*, (SELECT count(*) FROM orders WHERE o_custkey = s.user_id) AS n_events, (SELECT count(*) FROM strike k WHERE k.user_id = s.user_id) AS n_strikes
+FROM session s""",
+)
+def _(t: Tables) -> DataFrame:
+    return rentals_mart(*_rental(t)).select("user_id", "item_id", "type_id", "name", "status", "n_events", "n_strikes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.catalog.merges import scratch
-from sedimart.catalog.registry import Tables, moment, query
+from sedimart.catalog.registry import Tables, day, moment, query
 from sedimart.operators.quality import schema_drift, table_sizes
 from sedimart.plans.rental import ods_table
 from sedimart.plans.timetable import flattened_lessons
@@ -240,15 +240,20 @@ def _(t: Tables) -> DataFrame:
     return schema_drift(source, target, {f"api_{f}": f"DWH_{f}" for f in "ANR"})
 
 
-@query("table_size_snapshot")
+@query(
+    "table_size_snapshot",
+    " UNION ALL ".join(f"SELECT 20240101 AS id, '{name}' AS table_name, 'given' AS table_schema, count(*) AS n_rows, true AS has_size, '2024-01-01' AS state_dt FROM {name}" for name in TABLES),
+)
 def _(t: Tables) -> DataFrame:
-    return table_sizes(t.spark, {("given", name): f"{t.folder}/{name}.parquet" for name in TABLES}, "2024-01-01")
+    sizes = table_sizes({("given", name): getattr(t, name) for name in TABLES}, "2024-01-01")
+    has_size = (F.col("total_bytes") > 0) & (F.col("total_size_mb") == F.floor(F.col("total_bytes") / (1024 * 1024)))
+    return sizes.select("id", "table_name", "table_schema", "n_rows", has_size.alias("has_size"), day("state_dt").alias("state_dt"))
 
 
 @query(
     "typed_refresh",
     """
-SELECT o_orderkey AS api_id, o_custkey AS user_id, o_orderstatus AS status, strftime(o_orderdate + INTERVAL 4 HOUR, '%H') IN ('03', '04') AS moved,
+SELECT o_orderkey AS api_id, o_custkey AS user_id, o_orderstatus AS status,
        strftime(timezone('Europe/Moscow', timezone('UTC', o_orderdate)), '%Y-%m-%d %H:%M:%S.%f') AS start_ts
 FROM orders""",
 )
@@ -260,5 +265,4 @@ def _(t: Tables) -> DataFrame:
         *[F.col("o_orderdate").alias(c) for c in ("reservation_ts", "start_ts", "end_ts", "actual_return_ts")],
     )
     out = ods_table("rental_session", raw)
-    hours = F.hour("end_ts") - F.hour(F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
-    return out.select("api_id", "user_id", "status", hours.isin(3, 4).alias("moved"), moment("start_ts").alias("start_ts"))
+    return out.select("api_id", "user_id", "status", moment("start_ts").alias("start_ts"))

@@ -22,7 +22,7 @@ WITH actions AS (
   SELECT *, unnest(CASE form WHEN 'none' THEN [] WHEN 'two' THEN [1, 2] ELSE [1] END) AS part FROM actions
 ), fields AS (
   SELECT *, CASE WHEN form IN ('one', 'two') AND part = 1 THEN CAST(k AS VARCHAR) END AS fk,
-            CASE WHEN form = 'two' AND part = 2 THEN 'bot' || k END AS agent
+            CASE WHEN form = 'two' AND part = 2 THEN 'bot' || k END AS agent, form = 'two' AND part = 2 AS "full"
   FROM elems
 )
 """
@@ -31,7 +31,15 @@ WITH actions AS (
 def actions(t: Tables) -> DataFrame:
     kind, value = F.col("event_type"), F.col("value")
     k = F.get_json_object("props", "$.k")
-    second = F.concat(F.lit('{"user_agent": "bot'), k, F.lit('", "auth_user_id": "Not auth", "k": null}'))
+    n = k.cast("int")
+    text = lambda prefix, value: F.concat(F.lit(prefix), value.cast("string"))
+    full = {
+        "user_agent": text("bot", n), "auth_user_id": F.when(n % 2 == 0, "Not auth").otherwise(n.cast("string")), "k": F.lit(None).cast("string"),
+        "status": text("s", n % 3), "app_version": text("v", n % 4), "user_id": text("", n), "surname": text("name", n % 9), "number": text("#", n),
+        "pin": F.when(n % 2 == 0, n.cast("string")).otherwise("none"), "status_code": F.when(n % 3 != 0, (200 + n % 3).cast("string")).otherwise("-1"),
+        "description": F.when(n % 5 != 0, text("d", n)), "response_status_code": 200 + n % 5, "query": text("q=", n),
+    }
+    second = F.to_json(F.struct(*[c.alias(name) for name, c in full.items()]))
     payload = (
         F.when(value < 2, "")
         .when(value < 4, "[]")
@@ -71,7 +79,9 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "payload_printer",
-    _PAYLOAD_SQL + "SELECT action, '/apps/' || k AS path_from, '' AS status, '' AS app_version FROM fields WHERE user_id = -1",
+    _PAYLOAD_SQL
+    + """SELECT action, '/apps/' || k AS path_from, CASE WHEN "full" THEN 's' || k % 3 ELSE '' END AS status,
+       CASE WHEN "full" THEN 'v' || k % 4 ELSE '' END AS app_version FROM fields WHERE user_id = -1""",
 )
 def _(t: Tables) -> DataFrame:
     return action_tables(actions(t))["printer_actions"].select("action", "path_from", "status", "app_version")
@@ -80,19 +90,22 @@ def _(t: Tables) -> DataFrame:
 @query(
     "payload_typed",
     _PAYLOAD_SQL
-    + """SELECT action, '/home/' || event_id AS path_to, CAST(NULL AS VARCHAR) AS description, 0 AS pin,
-       CAST(NULL AS INTEGER) AS status_code, '' AS surname
+    + """SELECT action, '/home/' || event_id AS path_to, CASE WHEN "full" AND k % 5 <> 0 THEN 'd' || k END AS description,
+       CASE WHEN "full" AND k % 2 = 0 THEN k ELSE 0 END AS pin, CASE WHEN "full" AND k % 3 <> 0 THEN 200 + k % 3 END AS status_code,
+       CASE WHEN "full" THEN 's' || k % 3 ELSE '' END AS status, CASE WHEN "full" THEN CAST(k AS VARCHAR) ELSE '' END AS user_id,
+       CASE WHEN "full" THEN 'name' || k % 9 ELSE '' END AS surname, CASE WHEN "full" THEN '#' || k ELSE '' END AS number
 FROM fields WHERE user_id = -2 AND action IS NOT NULL""",
 )
 def _(t: Tables) -> DataFrame:
     rows = action_tables(actions(t))["printer_bots_actions"]
-    return rows.select("action", "path_to", "description", "pin", "status_code", "surname")
+    return rows.select("action", "path_to", "description", "pin", "status_code", "status", "user_id", "surname", "number")
 
 
 @query(
     "payload_rating",
     _PAYLOAD_SQL
-    + """SELECT action, '/home/' || event_id AS path_to, 0 AS response_status_code, 0 AS user_id, '' AS query
+    + """SELECT action, '/home/' || event_id AS path_to, CASE WHEN "full" THEN 200 + k % 5 ELSE 0 END AS response_status_code,
+       CASE WHEN "full" AND k % 2 = 1 THEN k ELSE 0 END AS user_id, CASE WHEN "full" THEN 'q=' || k ELSE '' END AS query
 FROM fields WHERE user_id = -3""",
 )
 def _(t: Tables) -> DataFrame:
@@ -230,18 +243,27 @@ def raw_log(t: Tables) -> DataFrame:
     )
 
 
+# Lines of a process list, on average at most.
+LINES_A_LIST = 200
+
+
 def raw_processes(t: Tables) -> DataFrame:
-    """Two process lists per day: each user's container, renamed on later days, few users missing."""
+    """Process lists of some hundred lines each: each user's container, renamed on later days, few users missing.
+
+    The users of a day are dealt into as many lists as their number asks for, so no list grows with it.
+    """
     user = F.col("user_id").cast("string")
     short = F.left(F.md5(user.cast("binary")), F.lit(12))
     seen = t.events.filter("event_type <> 'purchase'").select(
         short.alias("short"), "user_id", F.date_trunc("day", "ts").alias("create_ts")
     ).distinct()
+    days = seen.groupBy("create_ts").agg(F.ceil(F.count(F.lit(1)) / LINES_A_LIST).alias("lists"))
     line = F.concat(
         F.lit(" "), F.col("short"), F.lit("::image::name_"), F.col("user_id").cast("string"), F.lit("_"),
         F.dayofmonth("create_ts").cast("string"), F.lit("::Up::"), F.date_format("create_ts", "yyyy-MM-dd HH:mm:ss"),
     )
-    lists = seen.groupBy("create_ts", F.pmod("user_id", F.lit(2))).agg(F.array_join(F.array_sort(F.collect_list(line)), "^").alias("body"))
+    dealt = seen.join(days, "create_ts").withColumn("list", F.pmod(F.xxhash64("user_id"), "lists"))
+    lists = dealt.groupBy("create_ts", "list").agg(F.array_join(F.array_sort(F.collect_list(line)), "^").alias("body"))
     return lists.select(F.concat(F.lit(" "), F.col("body"), F.lit(" ^ ")).alias("record"), "create_ts")
 
 

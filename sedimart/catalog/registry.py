@@ -12,7 +12,7 @@ from sedimart.sources.landing import TABLES, read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["merges", "histories", "picks", "profiles", "people_queries", "payload_queries", "joining", "linking_queries", "snapshot_queries", "landing_queries", "outbound_queries", "basics"]
+MODULES = ["merges", "histories", "picks", "profiles", "people_queries", "payload_queries", "joining", "linking_queries", "snapshot_queries", "landing_queries", "outbound_queries", "basics", "instances"]
 
 
 class Tables:

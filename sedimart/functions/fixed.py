@@ -151,6 +151,10 @@ CARD_FIELDS = ["id", "status", "date", "number", "user"]
 # Id given to a room name that is not in the room table.
 UNKNOWN_ROOM = -100
 
+# What a created group's name begins with, and the description of a created lecturer.
+NEW_GROUP_NAME = "Группа # "
+NEW_LECTURER_DESCRIPTION = "Преподаватель физического факультета"
+
 # Our own approximation of Russian stemming: inflection endings dropped from a word of which at
 # least three letters remain, longest first within a group.
 RUSSIAN_ENDINGS = (

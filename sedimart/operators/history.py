@@ -127,21 +127,18 @@ def _keyless(live: DataFrame, snap: DataFrame, cmp_cols: list[str], ds: str, clo
     moved, and they are told out again in the end.
     """
     kind = F.xxhash64(*cmp_cols) if cmp_cols else F.lit(0).cast("bigint")
-    cols = live.columns
-    kinds = live.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).withColumn("__kind", kind)
-    fresh = snap.distinct().withColumn("__kind", kind)
-    parts = []
-    if closes:
-        same = fresh.select(F.col("__kind").alias("__met")).distinct()
-        marked = kinds.join(same, F.col("__kind") == F.col("__met"), "left")
-        marked = marked.withColumn(TO, F.when(F.col("__met").isNull(), _day(ds)).otherwise(F.col(TO)))
-    else:
-        marked = kinds
-    parts.append(marked.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n"))).select(*cols))
-    if opens:
-        waiting = fresh.join(kinds.select("__kind").distinct(), "__kind", "left_anti").drop("__kind")
-        parts.append(waiting.select(*_version({c: F.col(c) for c in snap.columns}, live, ds, fill)))
-    return reduce(DataFrame.unionByName, parts)
+    cols, from_snap = live.columns, snap.columns
+    olds = live.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).select(kind.alias("__kind"), F.struct(*cols, "__n").alias("__old"))
+    news = snap.distinct().select(kind.alias("__kind"), F.struct(*from_snap).alias("__new"))
+    grouped = olds.unionByName(news, allowMissingColumns=True).groupBy("__kind").agg(F.collect_list("__old").alias("__olds"), F.collect_list("__new").alias("__news"))
+    to = F.when(F.size("__news") == 0, _day(ds)) if closes else F.col("v")[TO]
+    kept = grouped.select("__news", F.explode("__olds").alias("v")).withColumn("__i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("v.__n"))))
+    kinds = {f.name: f.dataType for f in live.schema.fields}
+    kept = kept.select(*[(to if c == TO else F.col("v")[c]).cast(kinds[c]).alias(c) for c in cols])
+    if not opens:
+        return kept
+    waiting = grouped.filter(F.size("__olds") == 0).select(F.explode("__news").alias("v"))
+    return kept.unionByName(waiting.select(*_version({c: F.col("v")[c] for c in from_snap}, live, ds, fill)))
 
 
 def _version(values: dict[str, Column], hist: DataFrame, ds: str, fill: dict[str, Column] | None) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -329,6 +329,35 @@ def resolve_ids(
     return out.drop("__ids"), to_create
 
 
+def created_id(key: Col) -> Column:
+    """The id of a dimension row that a run creates: positive, and the same whenever its key is met again."""
+    return F.xxhash64(as_col(key)).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def resolve_or_create(
+    df: DataFrame, row_id: str, array_col: str, dim: DataFrame, dim_key: Column, id_col: str,
+    name_key: Callable[[Column], Column], new_row: Callable[[Column], dict[str, Column]],
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with ids for the names in an array, order kept; the dimension rows created for unknown names).
+
+    First every name is brought to its key, and keys that the dimension lacks become rows of it, of the
+    columns that ``new_row`` makes of the smallest name; their ids follow from the key, so a rerun makes
+    the same ones. Then all names are looked up in both. The smallest id stands for a repeated key; a
+    NULL name or key gets no id and creates nothing.
+    """
+    known = dim.groupBy(dim_key.alias("__key")).agg(F.min(id_col).cast("bigint").alias("__id")).filter("__key is not null")
+    opened = df.select(row_id, F.posexplode(array_col).alias("__pos", "__name")).withColumn("__key", name_key(F.col("__name")))
+    wanted = opened.filter("__key is not null").groupBy("__key").agg(F.min("__name").alias("__name"))
+    fresh = stage(wanted.join(known, "__key", "left_anti").withColumn("__id", created_id("__key")), "created")
+    met = opened.join(known.unionByName(fresh.drop("__name")), "__key", "left")
+    back = met.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("__pos", "__id"))).alias("__ids"))
+    ids = F.transform("__ids", lambda x: x["__id"])
+    out = df.join(back, row_id, "left").withColumn(array_col, F.when(F.size(array_col) == 0, F.array()).otherwise(ids)).drop("__ids")
+    columns = new_row(F.col("__name")) | {id_col: F.col("__id")}
+    created = fresh.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema.fields])
+    return out, created
+
+
 def lecturer_key(last: Col, first: Col, middle: Col) -> Column:
     """'Last F M': what a timetable entry shows of a lecturer."""
     initial = lambda c: F.left(as_col(c), F.lit(1))

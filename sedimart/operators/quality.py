@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 COLUMN_LIST = "table_schema string, table_name string, column_name string"
 
@@ -39,33 +41,20 @@ def schema_drift(
     )
 
 
-def table_sizes(spark: SparkSession, paths: dict[tuple[str, str], str], ds: str) -> DataFrame:
-    """Dated size report, largest tables first.
+def table_sizes(tables: dict[tuple[str, str], DataFrame], ds: str) -> DataFrame:
+    """Dated size report of file-backed tables, largest first: rows, bytes and whole megabytes.
 
-    Sizes come from one row per file with the contents never read.  Parquet has no index
-    files, so the index size is 0.
+    Each row knows the file it comes from and that file's size, so no value of a table is read.
+    Parquet has no index files, so the index size is 0.
     """
     frames = [
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name"), "length")
-        for (schema, table), path in paths.items()
+        df.select(F.lit(schema).alias("table_schema"), F.lit(table).alias("table_name"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+        for (schema, table), df in tables.items()
     ]
-    files = frames[0]
-    for frame in frames[1:]:
-        files = files.unionByName(frame)
-    per_table = files.groupBy("table_schema", "table_name").agg(F.sum("length").alias("bytes"))
-    megabytes = F.expr("bytes div (1024 * 1024)")
-    return (
-        per_table.orderBy(F.col("bytes").desc(), "table_schema", "table_name")
-        .select(
-            F.lit(int(ds.replace("-", ""))).alias("id"),
-            "table_name",
-            "table_schema",
-            megabytes.alias("table_size_mb"),
-            F.lit(0).cast("bigint").alias("indexes_size_mb"),
-            megabytes.alias("total_size_mb"),
-            F.lit(ds).cast("date").alias("state_dt"),
-        )
-    )
+    files = reduce(DataFrame.unionByName, frames).groupBy("table_schema", "table_name", "path").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size"))
+    per_table = files.groupBy("table_schema", "table_name").agg(F.sum("rows").alias("n_rows"), F.sum("size").alias("total_bytes"))
+    megabytes = F.expr("total_bytes div (1024 * 1024)")
+    return per_table.orderBy(F.col("total_bytes").desc(), "table_schema", "table_name").select(
+        F.lit(int(ds.replace("-", ""))).alias("id"), "table_name", "table_schema", "n_rows", "total_bytes", megabytes.alias("table_size_mb"),
+        F.lit(0).cast("bigint").alias("indexes_size_mb"), megabytes.alias("total_size_mb"), F.lit(ds).cast("date").alias("state_dt"),
+    )

@@ -46,19 +46,22 @@ def completeness_dedupe(df: DataFrame, key: str, cols: list[str], tie: list[Colu
 def number_rows(df: DataFrame, order_by: list[Column], out: str = "row_no") -> DataFrame:
     """Number all rows 1..n in a total order, without a one-task window.
 
-    A range-partitioned sort is written to the checkpoint folder with each row's place in its
-    partition; the rows before each partition come from one count per partition.  End the order
-    with a unique column: it makes the numbers repeatable and spreads a hot value over ranges.
+    The table is computed once and written with a number for each row; only that and the values it is
+    ordered by are sorted over ranges and written with their place in their range. The rows before
+    each range come from one count per range, and the other columns meet their number on the row's own.
+    End the order with a unique column: it makes the numbers repeatable and spreads a hot value over
+    ranges.
     """
-    placed = materialize(df.orderBy(*order_by).withColumn("__pos", F.monotonically_increasing_id()))
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()))
+    placed = materialize(rows.orderBy(*order_by).select("__row", F.monotonically_increasing_id().alias("__pos")))
     part = F.shiftright("__pos", 33)
     sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     # one row per sort partition, so this window and this broadcast stay small whatever the data
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     place = F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    numbered = placed.withColumn("__part", part).join(F.broadcast(starts), "__part")
-    return numbered.withColumn(out, (F.col("__start") + place).cast("bigint")).drop("__part", "__pos", "__start")
+    numbers = placed.withColumn("__part", part).join(F.broadcast(starts), "__part").select("__row", (F.col("__start") + place).cast("bigint").alias(out))
+    return rows.join(numbers, "__row").drop("__row")
 
 
 def global_rank(df: DataFrame, score: str, tie: list[str], out: str = "rank") -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.functions.columns import stable_id
+from sedimart.functions.fixed import NEW_GROUP_NAME, NEW_LECTURER_DESCRIPTION, UNKNOWN_ROOM
 from sedimart.operators.aggregates import dim_dedupe
 from sedimart.operators.linking import link_best
 from sedimart.operators.payloads import flatten_two_arrays
+from sedimart.operators.people import lecturer_key, lecturer_key_of_text, resolve_ids, resolve_or_create
 
 
 def dim_event(raw: DataFrame, source_name: str) -> DataFrame:
@@ -53,6 +57,21 @@ def link_table(events: DataFrame, dim: DataFrame, name_col: str, out: str, conta
     return linked.select(stable_id("event_id", out).alias("id"), "event_id", out)
 
 
+def gathered_links(links: dict[str, DataFrame]) -> DataFrame:
+    """One row per event with the value of each link (event_id, value), by the links' names.
+
+    The links are put together and aggregated by event once, so the events meet them in one join.
+    Exact repeats of a link are one; two values of one link for an event are an error.
+    """
+    sides = [df.select(F.col("event_id").alias("__event"), F.col("value").alias(name)) for name, df in links.items()]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides).filter("__event is not null")
+    grouped = both.groupBy("__event").agg(*[f(name).alias(p + name) for name in links for p, f in (("", F.min), ("__last", F.max))])
+    one = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col("__last" + name)) for name in links])
+    message = F.concat(F.lit("links repeat event "), F.col("__event").cast("string"))
+    checked = grouped.filter(F.when(one, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return checked.select("__event", *links)
+
+
 def timetable_mart(
     events: DataFrame,
     link_group: DataFrame,
@@ -67,19 +86,15 @@ def timetable_mart(
 ) -> DataFrame:
     """Events with the names of their group, lesson, room and lecturer."""
     mine = lambda dim: dim.filter(F.col("source_name") == source_name)
-    key = lambda df, c, name: df.select(F.col("event_id").alias(f"__{name}_event"), F.col(c).alias(f"__{name}"))
+    key = lambda df, c: df.select("event_id", F.col(c).alias("value"))
     group = mine(groups).select(F.col("id").alias("__gid"), "group_name_text")
     lesson = mine(lessons).select(F.col("id").alias("__lid"), "event_name_text")
     room = mine(rooms).select(F.col("id").alias("__rid"), "room_name")
     full = F.concat_ws(" ", "lecturer_first_name", "lecturer_middle_name", "lecturer_last_name")
     any_null = F.col("lecturer_first_name").isNull() | F.col("lecturer_middle_name").isNull() | F.col("lecturer_last_name").isNull()
     lecturer = mine(lecturers).select(F.col("id").alias("__tid"), F.when(~any_null, full).alias("lecturer_name"))
-    # the links share the event id, so their joins keep one partitioning; dimensions come after
     return (
-        events.join(key(link_group, "group_id", "g"), F.col("id") == F.col("__g_event"), "left")
-        .join(key(link_lesson, "lesson_id", "l"), F.col("id") == F.col("__l_event"), "left")
-        .join(key(link_room, "room_id", "r"), F.col("id") == F.col("__r_event"), "left")
-        .join(key(link_lecturer, "teacher_id", "t"), F.col("id") == F.col("__t_event"), "left")
+        events.join(gathered_links({"__g": key(link_group, "group_id"), "__l": key(link_lesson, "lesson_id"), "__r": key(link_room, "room_id"), "__t": key(link_lecturer, "teacher_id")}), F.col("id") == F.col("__event"), "left")
         .join(group, F.col("__g") == F.col("__gid"), "left")
         .join(lesson, F.col("__l") == F.col("__lid"), "left")
         .join(room, F.col("__r") == F.col("__rid"), "left")
@@ -102,6 +117,25 @@ def timetable_mart(
     )
 
 
+def lessons_to_ids(lessons: DataFrame, rooms: DataFrame, groups: DataFrame, lecturers: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Lessons (id, place, group, teacher ...) with ids in place of names, and what the tables lack.
+
+    Unknown rooms get the id of no room and are reported; unknown groups and lecturers become rows of
+    their tables in the same run, whose ids the lessons then carry. A lecturer is told by last name and
+    initials, and the first letters stand for the names of a created one.
+    """
+    placed, no_rooms = resolve_ids(lessons, "id", "place", rooms, "name", "id", UNKNOWN_ROOM)
+    number = lambda name: {"number": name, "name": F.concat(F.lit(NEW_GROUP_NAME), name)}
+    grouped, new_groups = resolve_or_create(placed, "id", "group", groups, F.col("number"), "id", lambda name: name, number)
+    parts = lambda name, i: F.get(F.split(F.trim(name), r"\s+"), F.lit(i))
+    person = lambda name: {
+        "last_name": parts(name, 0), "first_name": F.left(parts(name, 1), F.lit(1)), "middle_name": F.left(parts(name, 2), F.lit(1)), "description": F.lit(NEW_LECTURER_DESCRIPTION),
+    }
+    key = lecturer_key("last_name", "first_name", "middle_name")
+    taught, new_lecturers = resolve_or_create(grouped, "id", "teacher", lecturers, key, "id", lecturer_key_of_text, person)
+    return taught, {"rooms": no_rooms, "groups": new_groups, "lecturers": new_lecturers}
+
+
 def flattened_lessons(raw: DataFrame) -> DataFrame:
     """Lesson rows per teacher and study group.
 
