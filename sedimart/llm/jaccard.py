@@ -64,9 +64,15 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _firsts(shingles: np.ndarray, percent: int, salt: int, counts: np.ndarray | None = None) -> np.ndarray:
-    """The prefix of a set under the order by (count, hash)."""
-    order = np.lexsort((mix(shingles, salt), counts[_counter(shingles)])) if counts is not None else np.argsort(mix(shingles, salt))
-    return shingles[order[: prefix_length(len(shingles), percent)]]
+    """The prefix of a set under the order by (count, hash), its tokens in no order of their own."""
+    place, n = mix(shingles, salt), prefix_length(len(shingles), percent)
+    if counts is not None:
+        # the count in the first bits of the place
+        place = (np.minimum(counts[_counter(shingles)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (place >> np.uint64(24))
+    first = np.argpartition(place, n - 1)[:n]
+    if np.count_nonzero(place == place[first].max()) > 1:  # ties go by the token itself
+        first = np.lexsort((shingles, place))[:n]
+    return shingles[first]
 
 
 def _described(n: int, percent: int, kinds: str, carry: Sequence[str] = ()):
@@ -82,7 +88,7 @@ def _described(n: int, percent: int, kinds: str, carry: Sequence[str] = ()):
         for part, sets in _sets(batches, n):
             signs = np.array([_signature(s) for s in sets]).reshape(-1, SIGNATURE)
             nodes = [_digest(s) if len(s) else None for s in sets]
-            marks = {c: pa.array([np.unique(mix(_firsts(s, percent, salt), 3).astype(np.uint16)).view(np.int16) if len(s) else None for s in sets], pa.list_(pa.int16())) for c, salt in ORDERS.items()}
+            marks = {c: pa.array([mix(_firsts(s, percent, salt), 3).astype(np.uint16).tobytes() if len(s) else None for s in sets], pa.binary()) for c, salt in ORDERS.items()}
             new = [s for s, node in zip(sets, nodes, strict=True) if node is not None and node not in seen and not seen.add(node)]
             if new:
                 met, times = np.unique(_counter(np.concatenate(new)), return_counts=True)
@@ -167,13 +173,30 @@ def _verified(n: int, percent: int):
     return run
 
 
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose prefixes share a token under each of the orders by hash."""
+    for batch in batches:
+        kept = np.ones(batch.num_rows, dtype=bool)
+        for c in ORDERS:
+            for i, (x, y) in enumerate(zip(batch[f"{c}_a"].to_pylist(), batch[f"{c}_b"].to_pylist(), strict=True)):
+                if kept[i]:
+                    shown = np.zeros(1 << 16, dtype=bool) if len(x) > 4096 else None
+                    one, two = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                    if shown is None:
+                        kept[i] = not set(one.tolist()).isdisjoint(two.tolist())
+                    else:
+                        shown[one] = True
+                        kept[i] = shown[two].any()
+        yield _batch("a long, b long", {"a": batch["a"], "b": batch["b"]}).filter(pa.array(kept))
+
+
 class Join:
     """The distinct sets of a table, their prefixes under the orders, and the links found so far."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int, carry: Sequence[str] = ()):
         """``docs`` has key, text and the columns of ``carry``."""
         self.n, self.percent = n, percent
-        kinds = "key long, size long, node long, " + ", ".join(f"{c} long" for c in SIGNED) + "".join(f", {c} array<smallint>" for c in ORDERS)
+        kinds = "key long, size long, node long, " + ", ".join(f"{c} long" for c in SIGNED) + "".join(f", {c} binary" for c in ORDERS)
         kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", counter long, times long"
         described = stage(docs.mapInArrow(_described(n, percent, kinds, carry), kinds), "described")
         self.rows = described.filter("counter is null").drop("counter", "times")
@@ -218,8 +241,8 @@ class Join:
         # the other orders: both must share a token of the prefix under each of them
         for side in "ab":
             pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
-        shared = [F.arrays_overlap(f"{c}_a", f"{c}_b") for c in ORDERS]
-        pairs = pairs.filter(functools.reduce(operator.and_, shared)).select("a", "b")
+        marks = [f"{c}_{side}" for c in ORDERS for side in "ab"]
+        pairs = pairs.select("a", "b", *marks).mapInArrow(_sharing, "a long, b long")
         for side in "ba":
             pairs = pairs.join(self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
         found = stage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")

@@ -24,10 +24,21 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
+#: Powers that a task keeps of each base, at most; longer rows of them are worked out anew.
+KEPT = 1 << 22
+_kept: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """1, base, base squared and so on, n of them."""
+    known = _kept.get(int(base))
+    if known is None or len(known) < n:
+        out = np.full(max(n, 1 << 18), base, dtype=np.uint64)
+        out[:1] = 1
+        known = np.multiply.accumulate(out)
+        if len(known) <= KEPT:
+            _kept[int(base)] = known
+    return known[:n]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
