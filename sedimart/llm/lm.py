@@ -21,11 +21,11 @@ KNOWN_WORDS = 150_000
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
 #: The network: classes before a token that it sees, size of the vectors, and noise tokens.
-CONTEXT, WIDTH, NOISE, EPOCHS, BATCH, SEED = 3, 16, 64, 3, 256, 11
-#: Tokens that a task trains on at least, if the table has them; and after so many a block of whole texts ends.
-TASK_TOKENS, BLOCK = 400_000, 50_000
+CONTEXT, WIDTH, NOISE, EPOCHS, BATCH, SEED = 3, 16, 64, 2, 1024, 11
+#: Tokens that a task trains on, about; and after so many a block of whole texts ends.
+TASK_TOKENS, BLOCK = 1_000_000, 50_000
 #: Tokens whose classes are normalised together.
-TOGETHER = 4096
+TOGETHER = 1024
 END = b""
 
 
@@ -58,35 +58,45 @@ class LogBilinear:
         into, out, self.bias = np.split(self.weights, self._splits)
         self.into, self.out = into.reshape(CONTEXT, self.classes + 1, WIDTH), out.reshape(self.classes, WIDTH)
 
-    def contexts(self, ids: np.ndarray) -> np.ndarray:
-        """[tokens, CONTEXT]: the classes before each token of one text, nearest first."""
-        padded = np.concatenate([np.full(CONTEXT, self.classes), ids])
-        return np.stack([padded[CONTEXT - 1 - i : CONTEXT - 1 - i + len(ids)] for i in range(CONTEXT)], axis=1)
+    def contexts(self, ids: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+        """[CONTEXT, tokens]: the classes before each token of its text, nearest first; ``starts`` are the texts' first tokens."""
+        starts = np.zeros(1, np.int64) if starts is None else starts
+        place = np.arange(len(ids)) - np.repeat(starts, np.diff([*starts, len(ids)]))
+        out = np.full((CONTEXT, len(ids)), self.classes, np.int64)
+        for i in range(CONTEXT):
+            out[i, i + 1 :] = ids[: max(0, len(ids) - i - 1)]
+            out[i, place <= i] = self.classes
+        return out
 
     def predict(self, contexts: np.ndarray) -> np.ndarray:
-        return sum(self.into[i][contexts[:, i]] for i in range(CONTEXT))
+        return sum(self.into[i][contexts[i]] for i in range(CONTEXT))
 
     def learn_once(self, contexts: np.ndarray, targets: np.ndarray, draw: np.random.Generator) -> None:
-        """Noise-contrastive estimation: tell each token from NOISE ones drawn by the classes' shares; Adagrad."""
-        order, prior, inner = draw.permutation(len(targets)), self.prior, np.arange(WIDTH)
-        # weights of the vectors' first components, to which a token's slopes are added
-        before = (contexts + np.arange(CONTEXT) * (self.classes + 1)) * WIDTH
-        own = self._splits[0] + targets * WIDTH
+        """Noise-contrastive estimation: tell each token from NOISE ones drawn by the classes' shares; Adagrad.
+
+        Slopes are summed by class before they are added, so a batch costs its products and one row for
+        each class.
+        """
+        order, prior = draw.permutation(len(targets)), self.prior
         drawn = draw.choice(self.classes, (-(-len(order) // BATCH), NOISE), p=self.shares)
+        slope = np.empty_like(self.weights)
+        into, out, bias = np.split(slope, self._splits)
+        into, out = into.reshape(self.into.shape), out.reshape(self.out.shape)
         for at, noise in zip(range(0, len(order), BATCH), drawn, strict=True):
             rows = order[at : at + BATCH]
-            right = targets[rows]
-            vector, out = self.predict(contexts[rows]), self.out[noise]
-            logit = (vector * self.out[right]).sum(1) + self.bias[right] - prior[right]
-            logits = vector @ out.T + self.bias[noise] - prior[noise]
-            d_right = 1 / (1 + np.exp(-logit)) - 1
-            d_noise = 1 / (1 + np.exp(-logits))
-            d_vector = d_right[:, None] * self.out[right] + d_noise @ out
-            places = np.concatenate([before[rows].ravel(), own[rows], self._splits[0] + noise * WIDTH])
-            slopes = np.concatenate([np.repeat(d_vector, CONTEXT, axis=0), d_right[:, None] * vector, d_noise.T @ vector])
-            places = np.concatenate([(places[:, None] + inner).ravel(), self._splits[1] + right, self._splits[1] + noise])
-            slopes = np.concatenate([slopes.ravel(), d_right, d_noise.sum(0)])
-            slope = np.bincount(places, slopes, len(self.weights)).astype(np.float32) / np.float32(len(rows))
+            right, before = targets[rows], contexts[:, rows]
+            vector, false = self.predict(before), self.out[noise]
+            true = self.out[right]
+            d_right = 1 / (1 + np.exp(prior[right] - self.bias[right] - (vector * true).sum(1))) - 1
+            d_noise = 1 / (1 + np.exp(prior[noise] - self.bias[noise] - vector @ false.T))
+            d_vector = d_right[:, None] * true + d_noise @ false
+            slope[:] = 0
+            for i in range(CONTEXT):
+                _add_by_class(into[i], before[i], d_vector)
+            _add_by_class(out, right, d_right[:, None] * vector)
+            np.add.at(out, noise, d_noise.T @ vector)
+            bias += np.bincount(right, d_right, self.classes) + np.bincount(noise, d_noise.sum(0), self.classes)
+            slope /= np.float32(len(rows))
             self.squares += slope**2
             self.weights -= np.float32(0.1) * slope / np.sqrt(self.squares)
 
@@ -103,7 +113,7 @@ class LogBilinear:
         found = np.empty(len(ids))
         for at in range(0, len(ids), TOGETHER):
             rows = slice(at, at + TOGETHER)
-            logits = self.predict(contexts[rows]) @ self.out.T
+            logits = self.predict(contexts[:, rows]) @ self.out.T
             logits += self.bias
             top = logits.max(1, keepdims=True)
             right = logits[np.arange(len(logits)), ids[rows]] - top[:, 0]
@@ -113,6 +123,14 @@ class LogBilinear:
         return found
 
 
+def _add_by_class(sums: np.ndarray, classes: np.ndarray, values: np.ndarray) -> None:
+    """Add each row of ``values`` to the row of its class."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    found = classes[order]
+    begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    sums[found[begin]] += np.add.reduceat(values[order], begin, axis=0)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and ends of all texts with their counts, added up as far as they fit."""
     counts: Counter[bytes] = Counter()
@@ -144,9 +162,23 @@ class Vocabulary:
         counts = np.array([known.get(END, 0), *[known[w] for w in heads], *[0] * (HEADS - len(heads)), *self.tail_sums])
         self.shares = (counts + 1) / (counts + 1).sum()
 
+        self._places: dict[bytes, int] | None = None
+
+    def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each token among the known words, their number for others; class of each token)."""
+        if self._places is None:
+            self._places = {w: i for i, w in enumerate(self.known)}
+            self._classes = np.array([*(self.heads[w] if w in self.heads else _tail(w) for w in self.known), 0])
+        other = len(self._places)
+        get = self._places.get
+        found = np.array([get(w, other) for w in tokens], dtype=np.int64)
+        classes = self._classes[found]
+        for i in np.flatnonzero(found == other).tolist():
+            classes[i] = 0 if tokens[i] == END else _tail(tokens[i])
+        return found, classes
+
     def ids(self, tokens: list[bytes]) -> np.ndarray:
-        heads = self.heads
-        return np.fromiter((heads[w] if w in heads else _tail(w) for w in tokens), dtype=np.int64, count=len(tokens))
+        return self.places(tokens)[1]
 
 
 def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -202,10 +234,10 @@ def _trained(shares: np.ndarray, state: np.ndarray, epoch: int):
             for block in batch["ids"]:
                 ids = np.frombuffer(block.as_py(), np.uint16).astype(np.int64)
                 ends = np.flatnonzero(ids == 0) + 1
-                contexts = np.concatenate([model.contexts(own) for own in np.split(ids, ends[:-1])])
+                contexts = model.contexts(ids, np.concatenate([[0], ends[:-1]]))
                 # a text beyond a block's length is gone through in parts that keep their contexts
                 for at in range(0, len(ids), 2 * BLOCK):
-                    model.learn_once(contexts[at : at + 2 * BLOCK], ids[at : at + 2 * BLOCK], draw)
+                    model.learn_once(contexts[:, at : at + 2 * BLOCK], ids[at : at + 2 * BLOCK], draw)
                 n += len(ids)
         if n:
             yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "state": pa.array([(model.state.astype(np.float64) * n).tobytes()], pa.binary())})
@@ -227,14 +259,16 @@ def learn(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> LogBilinear
 
     In each epoch every task goes on from the same state over its texts; then the states are
     averaged by numbers of tokens, first in about as many tasks as the root of their number, then on
-    the driver. So the weights depend on how the table is split.
+    the driver. So the weights depend on how the table is split, and in their last digits on the order in
+    which states arrive.
     """
     model = LogBilinear(1 + HEADS + TAILS, vocab.shares)
     if not vocab.tokens:
         return model
     blocks = stage(docs.select(F.col(text).alias("text")).mapInArrow(_blocks(vocab), "ids binary"), "classes")
-    blocks = blocks.coalesce(max(1, vocab.tokens // TASK_TOKENS))
-    between = math.isqrt(blocks.rdd.getNumPartitions() - 1) + 1
+    tasks = max(1, vocab.tokens // TASK_TOKENS)
+    blocks = blocks.repartition(tasks)
+    between = math.isqrt(tasks - 1) + 1
     for epoch in range(EPOCHS):
         trained = blocks.mapInArrow(_trained(vocab.shares, model.state, epoch), "n long, state binary")
         sums = trained.repartition(between).mapInArrow(_summed, "n long, state binary").collect()
@@ -244,7 +278,9 @@ def learn(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> LogBilinear
 
 def _scored(model: LogBilinear, known: dict[bytes, float], vocab: Vocabulary):
     """One row (no word) for each text, and one for each of its words whose count isn't known here."""
-    heads, log_sums = vocab.heads, np.log10(vocab.tail_sums)
+    log_sums = np.log10(vocab.tail_sums)
+    logs = np.array([*(known[w] for w in vocab.known), 0.0])
+    other = len(logs) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
@@ -252,26 +288,32 @@ def _scored(model: LogBilinear, known: dict[bytes, float], vocab: Vocabulary):
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
                 texts = [[*words(t), END] for t in part["text"].to_pylist()]
-                ids = [vocab.ids(t) for t in texts]
-                flat = np.concatenate(ids)
-                chances = model.log_chances(flat, np.concatenate([model.contexts(i) for i in ids])) / math.log(10)
+                starts = np.cumsum([0, *map(len, texts)])
+                tokens = [w for t in texts for w in t]
+                place, classes = vocab.places(tokens)
+                log = logs[place]
+                score = model.log_chances(classes, model.contexts(classes, starts[:-1])) / math.log(10)
                 # a word of a tail class has its share of the class: its count over the class's sum
-                tails = flat > HEADS
-                chances[tails] -= log_sums[flat[tails] - HEADS - 1]
-                starts = np.cumsum([0, *map(len, ids)])
+                tails = classes > HEADS
+                score[tails] += log[tails] - log_sums[classes[tails] - HEADS - 1]
+                rare = np.flatnonzero(place == other)
+                sums = lambda values: np.add.reduceat(values, starts[:-1]).tolist()  # noqa: E731, B023
+                scores, bases, knowns = sums(score), sums(log), sums((place != other).astype(np.int64))
+                others: list[Counter] = [Counter() for _ in texts]
+                for i, text in zip(rare.tolist(), (np.searchsorted(starts, rare, side="right") - 1).tolist(), strict=True):
+                    others[text][tokens[i]] += 1
                 out: dict[str, list] = {c: [] for c in ("of", "doc", "word", "times", "tokens", "known", "score", "base")}
-                for i, tokens in enumerate(texts):
-                    here = [known[w] for w in tokens if w in known]
-                    tail = math.fsum(known[w] for w in tokens if w in known and w not in heads)
-                    others = Counter(w for w in tokens if w not in known)
-                    out["of"] += [row] * (1 + len(others))
-                    out["doc"] += [i] + [None] * len(others)
-                    out["word"] += [None, *others]
-                    out["times"] += [0, *others.values()]
-                    out["tokens"] += [len(tokens)] + [None] * len(others)
-                    out["known"] += [len(here)] + [None] * len(others)
-                    out["base"] += [math.fsum(here)] + [None] * len(others)
-                    out["score"] += [float(chances[starts[i] : starts[i + 1]].sum()) + tail] + [None] * len(others)
+                for i in range(len(texts)):
+                    own = others[i]
+                    nothing = [None] * len(own)
+                    out["of"] += [row] * (1 + len(own))
+                    out["doc"] += [i, *nothing]
+                    out["word"] += [None, *own]
+                    out["times"] += [0, *own.values()]
+                    out["tokens"] += [int(starts[i + 1] - starts[i]), *nothing]
+                    out["known"] += [knowns[i], *nothing]
+                    out["base"] += [bases[i], *nothing]
+                    out["score"] += [scores[i], *nothing]
                     row += 1
                 doc = pa.array(out.pop("doc"), pa.int64())
                 yield pa.RecordBatch.from_pydict({
