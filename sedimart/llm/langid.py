@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+import regex
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Labelled documents that the network learns from, at most about so many in all, equally many of each language.
+#: Labelled documents that the network learns from, at most so many in all, equally many of each language.
 SAMPLE_DOCS = 4_000
 #: Characters of a sampled document, from a place that its id decides.
 SAMPLE_CHARS = 400
@@ -21,7 +21,8 @@ STRETCH = 256
 TOGETHER = 2048
 #: A document whose best language scores less is of no clear language.
 LEAST_SCORE = 0.4
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, in tasks as in Spark; numbers and marks that look like letters are none.
+LETTER = regex.compile(r"\p{L}")
 
 
 def bucket(key: Column, n: int) -> Column:
@@ -166,20 +167,25 @@ class Network:
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCS) -> Network | None:
     """A network from labelled documents that are not held out, or None if there are none.
 
-    The one sample taken: of each language, documents whose hash is below a bound that lets through
-    about ``sample`` / number of languages of them, ``SAMPLE_CHARS`` characters of each. Which ones
-    follows from the ids alone, so the same table gives the same network.
+    The one sample taken: of each language, different documents whose hash of id and text is least, at
+    most ``sample`` / number of languages of them, ``SAMPLE_CHARS`` characters of each. A bound on the
+    hash lets through a few more than are wanted, so little is compared; repeated rows are one. Which
+    ones follows from the rows alone, so the same table gives the same network.
     """
     usable = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     usable = usable.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("key")))
     counts = docs.filter(F.col(lang).isNotNull() & ~held_out(F.col(key))).groupBy(F.col(lang).cast("string").alias("lang")).count()
-    share = {r["lang"]: sample / r["count"] for r in counts.collect()}
-    if not share:
+    sizes = {r["lang"]: r["count"] for r in counts.collect()}
+    if not sizes:
         return None
-    bound = F.element_at(F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v / len(share))]), F.col("lang"))
-    draw = F.shiftrightunsigned(F.xxhash64("key"), 11) / F.lit(float(2**53))
+    most = max(1, sample // len(sizes))
+    bound = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, (1.2 * most + 50) / n)]), F.col("lang"))
+    h = F.xxhash64("key", "text")
+    draw = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
     place = F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    rows = usable.filter(draw < bound).select("lang", F.xxhash64("key").alias("h"), F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text")).collect()
+    drawn = usable.withColumn("h", h).filter(draw < bound).select("lang", "h", F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text")).dropDuplicates(["lang", "h"])
+    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "h"))
+    rows = drawn.withColumn("place", order).filter(F.col("place") <= most).collect()
     rows = sorted((r["h"], r["lang"], r["text"]) for r in rows)
     langs = sorted({lang for _, lang, _ in rows})
     if not langs:
