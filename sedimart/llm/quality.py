@@ -122,15 +122,15 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, cutoffs: dict[str,
     documents is taken, of these the most lenient.
 
     Of a document with several labels the largest counts; labels of null or without document are
-    not used.
+    not used, nor those of an id that several rows have, as each label is one trial of the bound.
     """
     label = labels.filter(F.col("quality").isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max("quality").alias("quality"))
     # cutoffs fall, so a document is above a measure's last so many: their number says which
     above = lambda m, steps: F.size(F.filter(F.array(*map(F.lit, steps)), lambda c: F.col(m) > c))
     levels = [F.struct(F.lit(m).alias("measure"), F.lit(len(steps)).alias("steps"), above(m, steps).alias("above")) for m, steps in cutoffs.items()]
+    trials = measured.join(label, "key").groupBy("key").agg(F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("stratum", "quality", *cutoffs)]).filter("rows = 1")
     counts = (
-        measured.join(label, "key")
-        .select("stratum", "quality", F.explode(F.array(*levels)).alias("level"))
+        trials.select("stratum", "quality", F.explode(F.array(*levels)).alias("level"))
         .groupBy("stratum", "level.measure", "level.steps", "level.above")
         .agg(F.count_if(F.col("quality") > 0).alias("clean"), F.count_if(F.col("quality") <= 0).alias("bad"))
     )

@@ -68,7 +68,7 @@ with texts as (
 ), long as (
   unpivot (select row, doc_id, lang, {_MEASURES} from measured) on {_MEASURES} into name measure value value
 ), label as (
-  select doc_id, max(quality) as quality from labels where quality is not null group by doc_id
+  select doc_id, max(quality) as quality from labels where quality is not null and doc_id in (select doc_id from documents group by doc_id having count(*) = 1) group by doc_id
 ), cutoffs(measure, step, cutoff) as (
   values {_CUTOFFS}
 ), tests as (
