@@ -27,7 +27,7 @@ def table(spark, texts, lang=None):
 def spoken(spark):
     draw = random.Random(1)
     rows = [(i, " ".join(draw.choices(WORDS[k], k=draw.randint(5, 150))), k, "s", 0) for i, k in enumerate(itertools.islice(itertools.cycle(WORDS), 300))]
-    rows += [(1000, None, "aa", "s", 0), (1001, "12 34", "bb", "s", 0), (None, "lo mo ro so", None, "s", 0), (1002, "", None, "s", 0), (1003, "ki pi " * 20000, None, "s", 0), (1003, "ki pi " * 20000, None, "s", 0)]
+    rows += [(1000, None, "aa", "s", 0), (1001, "12 34", "bb", "s", 0), (None, "lo mo ro so", None, "s", 0), (1002, "", None, "s", 0), (1004, "½ ² ① Ⅷ", "aa", "s", 0), (1003, "ki pi " * 20000, None, "s", 0), (1003, "ki pi " * 20000, None, "s", 0)]
     return spark.createDataFrame(rows, DOCS)
 
 
@@ -56,11 +56,20 @@ def test_languages_of_held_out_documents(spoken):
     assert held and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows if r.doc_id is not None)
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) >= 0.95
     by = {r.doc_id: (r.lang_pred, r.score) for r in rows}
-    assert by[1000] == by[1001] == by[1002] == ("und", 0.0)
+    assert by[1000] == by[1001] == by[1002] == by[1004] == ("und", 0.0)
     assert by[1003][0] == "bb" and by[None][0] == "aa" and all(0 <= r.score <= 1 for r in rows)
     assert {r.doc_id for r in langid.keep_identified(spoken, net).collect()} == {k for k, (lang, score) in by.items() if lang != "und" and score >= langid.LEAST_SCORE}
 
 
+def test_one_hot_id_does_not_swell_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(langid.Network, "fit", lambda self, texts, labels: taken.append((len(texts), len(set(texts)))) or self)
+    rows = [(9, f"lo mo {i}", "aa") for i in range(2000)] + [(8, "ki pi", "bb")] * 2000 + [(8, "ki xi", "bb")]
+    langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=100)
+    [(n, different)] = taken
+    assert 45 <= n == different <= 52  # at most 50 of each, repeated rows once
+
+
 def test_languages_without_labels_or_rows(spoken):
     blank = spoken.withColumn("lang", F.lit(None).cast("string"))
     assert langid.learn(blank) is None
@@ -74,9 +83,9 @@ def test_chances_add_up_to_one():
     draw = np.random.default_rng(3)
     shares = draw.dirichlet(np.ones(20))
     model = lm.LogBilinear(20, shares)
-    contexts, targets = draw.integers(0, 20, (500, lm.CONTEXT)), draw.integers(0, 20, 500)
+    contexts, targets = draw.integers(0, 20, (lm.CONTEXT, 500)), draw.integers(0, 20, 500)
     model.fit(contexts, targets, shares)
-    one = contexts[:1].repeat(20, 0)
+    one = contexts[:, :1].repeat(20, 1)
     assert np.exp(model.log_chances(np.arange(20), one)).sum() == pytest.approx(1.0)
 
 
@@ -99,6 +108,37 @@ def test_base_scores_and_better_model_scores(spark, spoken, known_words):
     assert sum(r.score for r in far) > sum(r.base_score for r in far)
 
 
+def test_scores_equal_a_plain_reference(spark, spoken):
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(True))
+    train = spoken.filter(~held).coalesce(1)
+    counts = lm.count_tokens(train)
+    vocab = lm.vocabulary(counts, 6)
+    model = lm.learn(train, vocab)
+    n = {bytes(r.word): r.n for r in counts.collect()}
+    tails = collections.defaultdict(float)
+    for w, c in n.items():
+        if w not in vocab.heads:
+            tails[lm._tail(w)] += c + 0.1
+    want = collections.defaultdict(list)
+    for r in spoken.collect():
+        if len(r.text or "") > 10_000:
+            continue
+        ids, total = [], 0.0
+        for w in [*lm.words(r.text), b""]:
+            k = vocab.heads.get(w) if w in vocab.heads else lm._tail(w)
+            before = ([*reversed(ids)] + [model.classes] * lm.CONTEXT)[: lm.CONTEXT]
+            logits = model.out @ sum(model.into[i][c] for i, c in enumerate(before)) + model.bias
+            total += (float(logits[k]) - math.log(np.exp(logits.astype(np.float64)).sum())) / math.log(10)
+            if w not in vocab.heads:
+                total += math.log10((n.get(w, 0) + 0.1) / (tails[k] + 0.1))
+            ids.append(k)
+        want[r.doc_id].append(total)
+    got = lm.score_documents(spoken.coalesce(1), known_words=6).collect()
+    for r in got:
+        if r.doc_id != 1003:
+            assert r.score == pytest.approx(want[r.doc_id].pop(), rel=1e-4)
+
+
 def test_scores_of_unseen_texts_and_no_rows(spark, spoken):
     only = table(spark, [(i, "unseen words") for i in range(30) if zlib.crc32(str(i).encode()) % 10 == 0])
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in lm.score_documents(only).collect())
