@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sedimart.session import stage
 
 #: Projections; the share of them in which a candidate collides; the first half width of a window and its
-#: growth, in lengths of the longest vector; the share of a block that has to collide before the search ends.
-PROJECTIONS, THRESHOLD, WIDTH, GROWTH, SHARE = 48, 0.75, 0.8, 1.1, 0.25
-#: Colliding vectors that each wanted neighbour asks for besides.
-PER_NEIGHBOUR = 8
+#: growth, in lengths of the longest vector.
+PROJECTIONS, THRESHOLD, WIDTH, GROWTH = 48, 0.75, 0.4, 1.2
+#: The chance at most that a vector as near as the last one wanted collides too seldom when the search ends.
+MISS = 0.05
 SEED = 5
 #: Vectors in a block of the index, and queries in a block of queries.
 BLOCK, QUERIES = 8192, 512
@@ -27,6 +27,24 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def reach(projections: int, need: int, miss: float) -> float:
+    """The least half width, in units of a vector's distance, at which it collides ``need`` times with a chance of 1 - miss.
+
+    Along a direction of standard normal components, two vectors lie a normal number times their
+    distance apart, so the number of collisions is binomial.
+    """
+
+    def enough(width: float) -> float:
+        p = math.erf(width / math.sqrt(2))
+        return math.fsum(math.comb(projections, i) * p**i * (1 - p) ** (projections - i) for i in range(need, projections + 1))
+
+    low, high = 0.0, 8.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (low, middle) if enough(middle) >= 1 - miss else (middle, high)
+    return high
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in column.to_pylist()])
 
@@ -39,24 +57,31 @@ class Projections:
     """
 
     def __init__(self, vectors: np.ndarray, bound: float, directions: np.ndarray):
+        self.vectors = vectors
         rest = np.sqrt(np.maximum(bound**2 - (vectors**2).sum(1), 0.0))
         values = np.hstack([vectors, rest[:, None]]) @ directions.T
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(values.T, self.order, axis=1)
         self.scale = bound
 
-    def candidates(self, queries: np.ndarray, directions: np.ndarray, wanted: int) -> Iterator[np.ndarray]:
-        """For each query, places of the vectors that collide with it in enough projections.
+    def search(self, queries: np.ndarray, own: np.ndarray, directions: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query, the places and products of the vectors that collide with it in enough projections.
 
-        Windows around the query's own projections begin narrow and grow together until ``wanted``
-        vectors collide often enough; each step only counts what lies between the last windows and
-        the new ones. If the windows hold everything, so does the answer.
+        Windows around the query's own projections begin narrow and grow together; each step only
+        counts what lies between the last windows and the new ones, and verifies the vectors that
+        have collided often enough by then. The search ends when the windows are so wide that a
+        vector as near as the k-th verified one would have collided with a chance of 1 - MISS, or
+        when they hold everything. ``own`` is each query's own place here, which is left out, or -1.
         """
         n = self.values.shape[1]
         need = math.ceil(THRESHOLD * len(directions))
-        places = (queries * (self.scale / np.linalg.norm(queries, axis=1, keepdims=True))) @ directions[:, :-1].T
-        for at in places:
-            counts = np.zeros(n, np.int64)
+        wide = reach(len(directions), need, MISS)
+        lengths = np.linalg.norm(queries, axis=1)
+        places = (queries * (self.scale / lengths[:, None])) @ directions[:, :-1].T
+        for query, length, at, mine in zip(queries, lengths, places, own, strict=True):
+            counts, fresh = np.zeros(n, np.int64), np.ones(n, dtype=bool)
+            fresh[mine : mine + 1 if mine >= 0 else mine] = False
+            found, products = np.zeros(0, np.int64), np.zeros(0)
             width, low, high = WIDTH * self.scale, None, None
             while True:
                 lows = [v.searchsorted(a - width) for v, a in zip(self.values, at, strict=True)]
@@ -68,11 +93,21 @@ class Projections:
                     new += [order[a:b] for order, a, b in zip(self.order, high, highs, strict=True)]
                 counts += np.bincount(np.concatenate(new), minlength=n)
                 low, high = lows, highs
-                found = np.flatnonzero(counts >= need)
-                if len(found) >= wanted or (max(low) == 0 and min(high) == n):
+                more = np.flatnonzero((counts >= need) & fresh)
+                fresh[more] = False
+                # summed row by row, so equal vectors have equal products wherever they stand
+                found, products = np.concatenate([found, more]), np.concatenate([products, (self.vectors[more] * query).sum(1)])
+                if max(low) == 0 and min(high) == n:
                     break
-                width *= GROWTH
-            yield found
+                if len(found) >= k:
+                    last = np.partition(products, len(products) - k)[len(products) - k]
+                    enough = wide * math.sqrt(max(0.0, 2 * self.scale**2 - 2 * self.scale * last / length))
+                    if width >= enough:
+                        break
+                    width = min(width * GROWTH, enough)
+                else:
+                    width *= GROWTH
+            yield found, products
 
 
 def _searched(k: int, bound: float):
@@ -84,12 +119,11 @@ def _searched(k: int, bound: float):
             directions = np.random.default_rng(SEED).standard_normal((PROJECTIONS, vectors.shape[1] + 1))
             index = Projections(vectors, bound, directions)
             queries = _matrix(right["vector"])
-            wanted = min(len(vectors), PER_NEIGHBOUR * (k + 1) + math.ceil(SHARE * len(vectors)))
-            found_of = index.candidates(queries, directions, wanted)
-            for q, row, query, found in zip(right["id"].to_pylist(), right["row"].to_pylist(), queries, found_of, strict=True):
-                found = found[rows[found] != row]
-                # summed row by row, so equal vectors have equal scores wherever they stand
-                scores = (vectors[found] * query).sum(1)
+            asking = right["row"].to_numpy()
+            order = np.argsort(rows)
+            at = np.minimum(np.searchsorted(rows, asking, sorter=order), len(rows) - 1)
+            own = np.where(rows[order[at]] == asking, order[at], -1)
+            for q, row, (found, scores) in zip(right["id"].to_pylist(), asking.tolist(), index.search(queries, own, directions, k), strict=True):
                 best = np.lexsort((ids[found], -scores))[:k]
                 out["query_row"] += [row] * len(best)
                 out["query_id"] += [q] * len(best)
@@ -107,8 +141,9 @@ def nearest(df: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", ve
     Nearness is the inner product in double precision; ties go to the smaller id. Blocks of queries
     meet blocks of the index; both are dealt by hash, and more rows make more blocks, not larger
     ones. In a block, the index is one sorted array for each projection; vectors that collide with
-    the query in enough of them are verified by their true products. The nearest of all blocks are
-    then ranked together. Any vector may be missed that collides too rarely; tests measure it.
+    the query in enough of them are verified by their true products, until the windows are so wide
+    that the block's k-th nearest has been met with a chance of 1 - ``MISS``. The nearest of all blocks
+    are then ranked together. So a vector may be missed with that chance; tests measure it.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do
     queries among them, and vectors of another length than the query's are no candidates. Rows of

@@ -180,6 +180,22 @@ def test_neighbours_are_found_with_exact_scores(spark):
     assert hits >= 0.9 * 20 * 45
 
 
+@pytest.mark.parametrize("width", [64, 128, 384])
+def test_recall_in_blocks_of_production_size(width):
+    draw = np.random.default_rng(width)
+    vectors = draw.standard_normal((ann.BLOCK, width))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    directions = np.random.default_rng(ann.SEED).standard_normal((ann.PROJECTIONS, width + 1))
+    asked = np.arange(0, ann.BLOCK, 400)
+    hits = 0
+    for i, (found, products) in zip(asked, ann.Projections(vectors, 1.0, directions).search(vectors[asked], asked, directions, 20), strict=True):
+        exact = vectors @ vectors[i]
+        exact[i] = -np.inf
+        assert i not in found and products == pytest.approx(exact[found])
+        hits += len(set(found[np.argsort(-products)[:20]].tolist()) & set(np.argsort(-exact)[:20].tolist()))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (0, [1.0, 0.0])], "vec_id long, embedding array<double>")
     rows = ann.nearest(df, F.col("vec_id") % 20 == 0).collect()
