@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,13 +53,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders of the scopes that are open, the innermost last.
+_scopes: list[str] = []
+
+
+@contextmanager
+def stages_that_go(spark: SparkSession) -> Iterator[str]:
+    """Stages written inside go when the block ends: write or collect what depends on them before that.
+
+    They lie in one folder under the shared one, whose path the block gets.  Blocks may be nested.
+    """
+    folder = f"{shared_folder(spark)}/scope-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str = "stage", split_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Later jobs read the files with column pruning and survive the loss of executors.  With
     ``split_by``, each value of that column has a folder of its own, which readers of one value keep to.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes else shared_folder(df.sparkSession)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(split_by) if split_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,10 @@ from sedimart.catalog import ORACLES, QUERIES
 from sedimart.sources.landing import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
-SAMPLE = ["log_level_cube", "scd2_apply", "eav_pivot", "contains_link", "snapshot_diff", "comment_mart", "payload_items"]
+SAMPLE = [
+    "log_level_cube", "scd2_apply", "eav_pivot", "contains_link", "snapshot_diff", "comment_mart", "payload_items", "user_info", "history_comment",
+    "typed_strike", "dim_group", "lessons_created", "rental_factors", "table_size_snapshot",
+]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 

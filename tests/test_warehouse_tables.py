@@ -1,5 +1,7 @@
 """Many-table merges, resolved lessons, factored rentals, gathered links, ranks and the other parts of the marts."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from sedimart.operators.ranking import global_rank, number_rows
 from sedimart.operators.snapshots import require_pages
 from sedimart.plans.rental import rentals, rentals_mart
 from sedimart.plans.timetable import gathered_links, lessons_to_ids
+from sedimart.session import stage, stages_that_go
 
 ATTRIBUTES = sorted({c for s in SATELLITES for c in [*s.values.values(), s.source or "student_id"]} | {"student_id"})
 
@@ -134,3 +137,15 @@ def test_sizes_and_expected_pages(spark, tmp_path):
     assert require_pages(pages, spark.createDataFrame([("a",)], "url string")) is pages
     with pytest.raises(ValueError, match="1 pages are missing"):
         require_pages(pages, spark.createDataFrame([("a",), ("c",)], "url string"))
+
+
+def test_stages_go_with_their_scope(spark, tmp_path):
+    with stages_that_go(spark) as outer:
+        kept = stage(spark.range(5))
+        with stages_that_go(spark) as inner:
+            ranked = number_rows(spark.range(7), [F.col("id")])
+            ranked.write.parquet(str(tmp_path / "ranked"))
+        assert not os.path.exists(inner) and os.path.exists(outer) and kept.count() == 5
+    assert not os.path.exists(outer)
+    assert spark.read.parquet(str(tmp_path / "ranked")).count() == 7
+    assert os.path.exists(stage(spark.range(1)).inputFiles()[0].removeprefix("file:").removeprefix("//"))
