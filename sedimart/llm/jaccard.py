@@ -209,8 +209,10 @@ class Join:
         shown = docs.mapInArrow(_shown(n, percent, often), "token long, node long")
         ends = shown.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
         met = shown.join(ends, "token").dropDuplicates(["token", "node"])
-        self.prefixes = stage(met.join(self.nodes.select("node", "size", "band", *SIGNED), "node"), "prefixes")
-        wanted = self.prefixes.select("node").distinct()
+        # a node's tokens are no more than its prefix; they stand next to its signature once, not each
+        tokens = met.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+        self.shown = stage(tokens.join(self.nodes.select("node", "size", "band", *SIGNED), "node"), "prefixes")
+        wanted = self.shown.select("node")
         keys = self.nodes.join(wanted, "node", "left_semi").select("key").distinct()
         # a key may stand for several texts: the digest of each says whose it is
         found = docs.join(keys, docs["key"].eqNullSafe(keys["key"]), "left_semi").mapInArrow(_noded(n), "node long, text string")
@@ -218,10 +220,13 @@ class Join:
         self.links: DataFrame | None = None
 
     def _labelled(self) -> DataFrame:
+        """(token, node, size, band, signature, label): each shown token, with the group that its set is in by now."""
         if self.links is None:
-            return self.prefixes.withColumn("label", F.col("node"))
-        labels = stage(components(self.links), "labels")
-        return self.prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            shown = self.shown.withColumn("label", F.col("node"))
+        else:
+            labels = components(self.links)
+            shown = stage(self.shown.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+        return shown.withColumn("token", F.explode("tokens")).drop("tokens")
 
     def _fit(self, a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
         """Whether sizes and signatures allow the two sets to link.
@@ -250,7 +255,7 @@ class Join:
 
     def against_pivots(self, rounds: range) -> None:
         """Hold each token's sets against one of them that a hash picks, other than those in its group already."""
-        labelled = stage(self._labelled(), "labelled")
+        labelled = self._labelled()
         wanted = []
         for i in rounds:
             picked = F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "size", "label", *SIGNED)).alias("p")
@@ -268,7 +273,7 @@ class Join:
         Sets that link lie in one band of sizes or in two that touch, so a set meets those of its own
         band and of the next.
         """
-        labelled = stage(self._labelled(), "labelled")
+        labelled = self._labelled()
         split = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("token")
         left = labelled.join(split, "token")
         names = ("node", "size", "label", *SIGNED)
