@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedimart.llm.shingles import mix, shingle_sets
-from sedimart.session import release_shuffles, stage
+from sedimart.session import stage
 
 WORDS, PERCENT = 5, 80
 #: Counters that tokens fall into by their hash, and how often a task must meet one to report it. Tokens
@@ -174,13 +174,20 @@ def _verified(n: int, percent: int):
 
 
 def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose prefixes under an order by hash share a token."""
+    """Pairs whose prefixes share a token under each of the orders by hash."""
     for batch in batches:
-        kept = []
-        for x, y in zip(batch["prefix_a"].to_pylist(), batch["prefix_b"].to_pylist(), strict=True):
-            one, two = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
-            kept.append(not set(one.tolist()).isdisjoint(two.tolist()))
-        yield _batch("a long, b long", {"a": batch["a"], "b": batch["b"]}).filter(pa.array(kept, pa.bool_()))
+        kept = np.ones(batch.num_rows, dtype=bool)
+        for c in ORDERS:
+            for i, (x, y) in enumerate(zip(batch[f"{c}_a"].to_pylist(), batch[f"{c}_b"].to_pylist(), strict=True)):
+                if kept[i]:
+                    shown = np.zeros(1 << 16, dtype=bool) if len(x) > 4096 else None
+                    one, two = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                    if shown is None:
+                        kept[i] = not set(one.tolist()).isdisjoint(two.tolist())
+                    else:
+                        shown[one] = True
+                        kept[i] = shown[two].any()
+        yield _batch("a long, b long", {"a": batch["a"], "b": batch["b"]}).filter(pa.array(kept))
 
 
 class Join:
@@ -237,10 +244,10 @@ class Join:
         """Verify the pairs (a, b) on their whole sets and keep those that link."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # the other orders: both must share a token of the prefix under each of them
-        for c in ORDERS:  # one after the other, so the second prefixes go to fewer pairs
-            for side in "ab":
-                pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col(c).alias(f"prefix_{side}")), side)
-            pairs = pairs.select("a", "b", "prefix_a", "prefix_b").mapInArrow(_sharing, "a long, b long")
+        for side in "ab":
+            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
+        marks = [f"{c}_{side}" for c in ORDERS for side in "ab"]
+        pairs = pairs.select("a", "b", *marks).mapInArrow(_sharing, "a long, b long")
         for side in "ba":
             pairs = pairs.join(self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
         found = stage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")
@@ -316,9 +323,9 @@ def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carry)
     join = Join(rows, n, percent, carry)
-    for step in (lambda: join.against_pivots(range(1)), lambda: join.against_pivots(range(1, PIVOTS)), join.against_all):
-        release_shuffles(docs.sparkSession)
-        step()
+    join.against_pivots(range(1))
+    join.against_pivots(range(1, PIVOTS))
+    join.against_all()
     labels = components(join.links)
     labelled = join.nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.groupBy("label").agg(F.min("key").alias("component_id"))
