@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -87,15 +86,6 @@ def stage(df: DataFrame, name: str = "stage", split_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have the driver look for shuffles that no plan refers to any more, so that Spark removes their files.
-
-    Spark does so by itself every half hour; a job of many large steps asks for it between them.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """``stage`` for what a mart computes once and reads more than once."""
     return stage(df, "materialized")
