@@ -126,7 +126,8 @@ def dated_events(new: DataFrame, dated: DataFrame, id_col: str = "id", compat: b
     """
     keys = ["subject", "teacher", "group", "place"]
     side = dated.select(*keys, F.col("start").alias("__start"), F.col("end").alias("__end"), F.lit(True).alias("__met"))
-    joined = new.drop("start", "end").join(side, keys, "left")
+    # dates are exploded from a small table, and Spark takes them to be as small: never broadcast them
+    joined = new.drop("start", "end").join(side.hint("merge"), keys, "left")
     named = joined.withColumnsRenamed({"__start": "start", "__end": "end"})
     group = ["subject", "start", "group", "place"]
     if compat:

@@ -5,13 +5,13 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan, rows
 from sedimart.functions.columns import like_built
 from sedimart.functions.jsontext import payload_array
 from sedimart.operators.history import scd2_apply, scd2_close, scd2_current
 from sedimart.operators.html import html_lessons, page_lessons
 from sedimart.operators.merge import merge_conditional, update_from, upsert
-from sedimart.operators.snapshots import page_diff, snapshot_diff
+from sedimart.operators.snapshots import calendar_expand, dated_events, lesson_times, page_diff, snapshot_diff
 from sedimart.sources.crypto import decrypt, mirror_encrypted
 from sedimart.sources.tables import append_snapshot, full_refresh, read_version, versions
 
@@ -99,3 +99,14 @@ def test_a_third_refresh_leaves_two_versions(spark, tmp_path):
         full_refresh(spark.range(n), root)
     assert versions(spark, root) == [2, 3]
     assert [read_version(spark, root, back).count() for back in (0, 1)] == [3, 2]
+
+
+def test_dates_of_lessons_are_never_broadcast(spark):
+    schema = "id bigint, subject string, teacher array<int>, group array<int>, place array<bigint>, weekday int, odd boolean, even boolean, start string, end string"
+    lessons = [(1, "a", [1], [1], [1], 2, True, True, "9:00", "10:35"), (2, "b", [1], [1], [2], 2, False, False, "9:00", "10:35")]
+    weekly = spark.createDataFrame(lessons, schema)
+    dated = lesson_times(calendar_expand(weekly, "1995-02-08", "1995-02-20", "1995-02-07"))
+    events = dated_events(weekly, dated)
+    assert "SortMergeJoin" in plan(events) and "Broadcast" not in plan(events)
+    shown = events.select("id", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"))
+    assert rows(shown) == [(1, "1995-02-08 09:00"), (1, "1995-02-15 09:00"), (2, None)]
