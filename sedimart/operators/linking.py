@@ -56,14 +56,17 @@ def link_best(
 ) -> DataFrame:
     """One right id per left row: a full token match first, then the smallest id.
 
-    ``contains`` admits only right texts that are part of the left text.  Without it every right
+    ``contains`` admits only right texts that are part of the left text; rows that share a text
+    are one to it, by their smallest id, so no text meets a name more than once.  Without it every right
     row is admitted, so the winner is the best token match or, with ``default_unmatched``, the
     smallest right id of all; no pair beyond the token matches is ever built.
     """
     l_side = left.select(left_id, left_text)
     r_side = right.select(right_id, right_text)
     if contains:
-        pairs = contains_join(l_side, r_side, left_id, left_text, right_text)
+        # in a struct a NULL id is the smallest, as it is among the candidates of one row
+        names = r_side.groupBy(right_text).agg(F.min(F.struct(right_id)).alias("__least")).select(F.col(f"__least.{right_id}").alias(right_id), right_text)
+        pairs = contains_join(l_side, names, left_id, left_text, right_text)
         full = tokens_match(tokens(left_text, stops), tokens(right_text, stops))
         best = pairs.groupBy(left_id).agg(F.min(F.struct((~full).alias("miss"), F.col(right_id))).alias("best"))
         return best.select(left_id, F.col(f"best.{right_id}").alias(right_id))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from sedimart.functions.columns import like_built
 from sedimart.functions.jsontext import payload_array
+from sedimart.operators import linking
 from sedimart.operators.history import scd2_apply, scd2_close, scd2_current
 from sedimart.operators.html import html_lessons, page_lessons
 from sedimart.operators.merge import merge_conditional, update_from, upsert
@@ -101,12 +102,24 @@ def test_a_third_refresh_leaves_two_versions(spark, tmp_path):
     assert [read_version(spark, root, back).count() for back in (0, 1)] == [3, 2]
 
 
-def test_dates_of_lessons_are_never_broadcast(spark):
+def test_dates_of_lessons_are_never_broadcast(spark, tmp_path):
     schema = "id bigint, subject string, teacher array<int>, group array<int>, place array<bigint>, weekday int, odd boolean, even boolean, start string, end string"
     lessons = [(1, "a", [1], [1], [1], 2, True, True, "9:00", "10:35"), (2, "b", [1], [1], [2], 2, False, False, "9:00", "10:35")]
-    weekly = spark.createDataFrame(lessons, schema)
+    spark.createDataFrame(lessons, schema).write.parquet(str(tmp_path / "weekly"))
+    weekly = spark.read.parquet(str(tmp_path / "weekly"))  # files have a size that Spark knows
     dated = lesson_times(calendar_expand(weekly, "1995-02-08", "1995-02-20", "1995-02-07"))
     events = dated_events(weekly, dated)
     assert "SortMergeJoin" in plan(events) and "Broadcast" not in plan(events)
     shown = events.select("id", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"))
     assert rows(shown) == [(1, "1995-02-08 09:00"), (1, "1995-02-15 09:00"), (2, None)]
+
+
+def test_rows_that_share_a_name_meet_a_text_once(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "a red bolt"), (2, "a blue ring"), (3, "none"), (4, None)], "lid int, text string")
+    many = [(f"{i:03}", name) for i, name in enumerate(["red", "Red", "re", "ring", None] * 40)]
+    names = spark.createDataFrame([*many, (None, "blue")], "rid string, name string")
+    met = []
+    whole = linking.contains_join
+    monkeypatch.setattr(linking, "contains_join", lambda left, right, *rest: met.append(right) or whole(left, right, *rest))
+    assert rows(linking.link_best(texts, names, "lid", "text", "rid", "name")) == [(1, "000"), (2, None)]
+    assert rows(met[0], "name", "rid") == [(None, "004"), ("Red", "001"), ("blue", None), ("re", "002"), ("red", "000"), ("ring", "003")]
