@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, rows
+from sedimart.catalog import QUERIES
 from sedimart.functions.columns import like_built
 from sedimart.functions.jsontext import payload_array
 from sedimart.operators import linking
@@ -123,3 +124,11 @@ def test_rows_that_share_a_name_meet_a_text_once(spark, monkeypatch):
     monkeypatch.setattr(linking, "contains_join", lambda left, right, *rest: met.append(right) or whole(left, right, *rest))
     assert rows(linking.link_best(texts, names, "lid", "text", "rid", "name")) == [(1, "000"), (2, None)]
     assert rows(met[0], "name", "rid") == [(None, "004"), ("Red", "001"), ("blue", None), ("re", "002"), ("red", "000"), ("ring", "003")]
+
+
+def test_the_typed_refresh_tells_whether_times_moved(spark, tmp_path):
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = [(1, 7, "O", 1.0, datetime.datetime(1996, 1, 10), "5-LOW"), (2, 7, "O", 1.0, None, "5-LOW")]
+    spark.createDataFrame(orders, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    done = QUERIES["typed_refresh"](spark, str(tmp_path))
+    assert rows(done, "api_id", "moved", "start_ts") == [(1, True, "1996-01-10 03:00:00.000000"), (2, None, None)]
