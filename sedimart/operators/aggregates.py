@@ -51,7 +51,7 @@ def eav_pivot(
     ``attrs`` maps attribute name to output column.  With ``source_col`` each column gets a
     ``_source`` twin.  Owners without any listed attribute keep a row of NULLs.  Repeats are
     removed first, spread over all values, so a hot owner reaches its output cells with its
-    distinct values only.
+    distinct values only.  Cells are dealt by owner before any row as wide as the table is made of them.
     """
     listed = F.col(name_col).isin(list(attrs))
     facts = [F.when(listed, F.col(c)).alias(a) for c, a in ((name_col, "__name"), (value_col, "__value"))]
@@ -61,7 +61,7 @@ def eav_pivot(
         kinds["_source"] = "__source"
     distinct = df.select(owner, *facts).distinct()
     cells = distinct.groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
-    return cells.groupBy(owner).agg(
+    return cells.repartition(owner).groupBy(owner).agg(
         *[
             F.max(F.when(F.col("__name") == name, F.col(c))).alias(out + suffix)
             for name, out in attrs.items()

@@ -62,10 +62,15 @@ def resolve_person(users: DataFrame, members: DataFrame, id_col: str = "student_
 
 
 def person_facts(info: DataFrame, param: DataFrame, source: DataFrame) -> DataFrame:
-    """(owner_id, name, value, source): profile facts with their names; facts without source drop."""
+    """(owner_id, name, value, source): profile facts with their names; facts without source drop.
+
+    The lists of attributes and sources are sent to the facts, which stay where they are read: Spark may
+    not know how short the lists are, nor how many facts there will be, and must not send the facts to them.
+    """
     names = param.select(F.col("id").alias("param_id"), F.col("name"))
     sources = source.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
-    return info.join(sources, "source_id").join(names, "param_id", "left").select("owner_id", "name", "value", "source")
+    named = info.join(F.broadcast(sources), "source_id").join(F.broadcast(names), "param_id", "left")
+    return named.select("owner_id", "name", "value", "source")
 
 
 def user_table(facts: DataFrame) -> DataFrame:

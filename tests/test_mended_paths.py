@@ -10,9 +10,11 @@ from sedimart.catalog import QUERIES
 from sedimart.functions.columns import like_built
 from sedimart.functions.jsontext import payload_array
 from sedimart.operators import linking
+from sedimart.operators.aggregates import eav_pivot
 from sedimart.operators.history import scd2_apply, scd2_close, scd2_current
 from sedimart.operators.html import html_lessons, page_lessons
 from sedimart.operators.merge import merge_conditional, update_from, upsert
+from sedimart.operators.people import person_facts
 from sedimart.operators.snapshots import calendar_expand, dated_events, lesson_times, page_diff, snapshot_diff
 from sedimart.sources.crypto import decrypt, mirror_encrypted
 from sedimart.sources.tables import append_snapshot, full_refresh, read_version, versions
@@ -132,3 +134,21 @@ def test_the_typed_refresh_tells_whether_times_moved(spark, tmp_path):
     spark.createDataFrame(orders, schema).write.parquet(str(tmp_path / "orders.parquet"))
     done = QUERIES["typed_refresh"](spark, str(tmp_path))
     assert rows(done, "api_id", "moved", "start_ts") == [(1, True, "1996-01-10 03:00:00.000000"), (2, None, None)]
+
+
+def test_facts_stay_where_they_are_read(spark, tmp_path):
+    facts = [(1, 0, 1, "a"), (1, 0, 2, "b"), (2, 5, 1, "c"), (3, 0, 9, "d"), (4, None, 1, "e")]
+    spark.createDataFrame(facts, "owner_id int, param_id int, source_id int, value string").write.parquet(str(tmp_path / "info"))
+    info = spark.read.parquet(str(tmp_path / "info"))  # files have a size that Spark knows, unlike the lists
+    param = spark.createDataFrame([(0, "sex")], "id int, name string")
+    source = spark.createDataFrame([(1, "user"), (2, "admin")], "id int, name string")
+    named = person_facts(info, param, source)
+    assert plan(named).count("BroadcastHashJoin") == 2 and "BuildLeft" not in plan(named) and "SortMergeJoin" not in plan(named)
+    assert rows(named) == [(1, "sex", "a", "user"), (1, "sex", "b", "admin"), (2, None, "c", "user"), (4, None, "e", "user")]
+
+
+def test_cells_are_dealt_by_owner_before_rows_are_wide(spark):
+    facts = spark.createDataFrame([(1, "a", "y"), (1, "a", "x"), (1, "b", "z"), (2, "c", "n"), (None, "a", "w")], "o int, n string, v string")
+    wide = eav_pivot(facts, "o", "n", "v", {"a": "a", "b": "b"})
+    assert plan(wide).count("Exchange hashpartitioning") == 2 and "REPARTITION_BY_COL" in plan(wide)
+    assert rows(wide) == [(None, "w", None), (1, "x, y", "z"), (2, None, None)]
