@@ -51,7 +51,8 @@ def eav_pivot(
     ``attrs`` maps attribute name to output column.  With ``source_col`` each column gets a
     ``_source`` twin.  Owners without any listed attribute keep a row of NULLs.  Repeats are
     removed first, spread over all values, so a hot owner reaches its output cells with its
-    distinct values only.  Cells are dealt by owner before any row as wide as the table is made of them.
+    distinct values only.  The task that reads the facts gathers nothing, however many it reads.
+    Cells are dealt by owner before any row as wide as the table is made of them.
     """
     listed = F.col(name_col).isin(list(attrs))
     facts = [F.when(listed, F.col(c)).alias(a) for c, a in ((name_col, "__name"), (value_col, "__value"))]
@@ -59,7 +60,8 @@ def eav_pivot(
     if source_col is not None:
         facts.append(F.when(listed, F.col(source_col)).alias("__source"))
         kinds["_source"] = "__source"
-    distinct = df.select(owner, *facts).distinct()
+    narrow = df.select(owner, *facts)
+    distinct = narrow.repartition(*narrow.columns).distinct()
     cells = distinct.groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
     return cells.repartition(owner).groupBy(owner).agg(
         *[

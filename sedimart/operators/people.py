@@ -25,8 +25,10 @@ def name_parts(df: DataFrame, owner: str, col: str) -> DataFrame:
     """Per owner the sets of words at the places a first or last name can have.
 
     ``w1`` and ``w2`` come from names of two words or more, ``t1`` and ``t3`` from names of three.
+    Names are dealt out before any are gathered.
     """
-    worded = df.select(owner, F.col(col).alias("__name"), name_words(col).alias("__w")).distinct()
+    named = df.select(owner, F.col(col).alias("__name"))
+    worded = named.repartition(*named.columns).distinct().withColumn("__w", name_words("__name"))
     many, three = F.size("__w") >= 2, F.size("__w") == 3
     word = lambda i: F.get("__w", F.lit(i - 1))
     return worded.groupBy(owner).agg(
