@@ -307,8 +307,11 @@ def _(t: Tables) -> DataFrame:
     )
     link = lambda df, key, out: df.select(F.col("id").alias("event_id"), F.col(key).alias(out))
     # the part and the supplier belong to the line: make the ids of the lines tell them apart
+    apart = F.concat_ws("/", line, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     unique = events.withColumn("id", F.concat_ws("/", "id", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")))
-    to_customer = unique.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    # the numbers meet the orders, and the text is made of them afterwards
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    to_customer = lines.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").select(apart.alias("id"), "o_custkey")
     mart = timetable_mart(
         unique, link(unique, "l_partkey", "group_id"), groups, link(unique, "l_orderkey", "lesson_id"), lessons,
         link(unique, "l_suppkey", "room_id"), rooms, link(to_customer, "o_custkey", "teacher_id"), people, "here",

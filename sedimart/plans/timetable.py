@@ -61,11 +61,15 @@ def gathered_links(links: dict[str, DataFrame]) -> DataFrame:
     """One row per event with the value of each link (event_id, value), by the links' names.
 
     The links are put together and aggregated by event once, so the events meet them in one join.
+    They are shuffled as they are: an event has few, and a row of sums would be wider than all of them.
     Exact repeats of a link are one; two values of one link for an event are an error.
     """
-    sides = [df.select(F.col("event_id").alias("__event"), F.col("value").alias(name)) for name, df in links.items()]
+    # one column holds the values of all links, if they are of one type
+    alike = len({df.schema["value"].dataType for df in links.values()}) == 1
+    column = {name: "__value" if alike else "__value" + name for name in links}
+    sides = [df.select(F.col("event_id").alias("__event"), F.lit(i).cast("byte").alias("__which"), F.col("value").alias(column[name])) for i, (name, df) in enumerate(links.items())]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides).filter("__event is not null")
-    grouped = both.groupBy("__event").agg(*[f(name).alias(p + name) for name in links for p, f in (("", F.min), ("__last", F.max))])
+    grouped = both.repartition("__event").groupBy("__event").agg(*[f(F.when(F.col("__which") == i, F.col(column[name]))).alias(p + name) for i, name in enumerate(links) for p, f in (("", F.min), ("__last", F.max))])
     one = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col("__last" + name)) for name in links])
     message = F.concat(F.lit("links repeat event "), F.col("__event").cast("string"))
     checked = grouped.filter(F.when(one, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
@@ -95,9 +99,10 @@ def timetable_mart(
     lecturer = mine(lecturers).select(F.col("id").alias("__tid"), F.when(~any_null, full).alias("lecturer_name"))
     return (
         events.join(gathered_links({"__g": key(link_group, "group_id"), "__l": key(link_lesson, "lesson_id"), "__r": key(link_room, "room_id"), "__t": key(link_lecturer, "teacher_id")}), F.col("id") == F.col("__event"), "left")
-        .join(group, F.col("__g") == F.col("__gid"), "left")
+        # the longest names come last: a join shuffles what the ones before have added
         .join(lesson, F.col("__l") == F.col("__lid"), "left")
         .join(room, F.col("__r") == F.col("__rid"), "left")
+        .join(group, F.col("__g") == F.col("__gid"), "left")
         .join(lecturer, F.col("__t") == F.col("__tid"), "left")
         .select(
             F.col("id").alias("event_id"),

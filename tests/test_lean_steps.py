@@ -26,3 +26,13 @@ def test_names_are_dealt_out_before_they_are_gathered(spark):
     named = name_parts(spark.createDataFrame([(1, "Ann  Lee"), (1, "Ann  Lee"), (1, "Lee Ann May"), (2, None)], "owner int, value string"), "owner", "value")
     assert "Aggregate" not in before_first_shuffle(named)
     assert rows(named) == [(1, ["Ann  Lee", "Lee Ann May"], ["ann", "lee"], ["ann", "lee"], ["lee"], ["may"]), (2, [], [], [], [], [])]
+
+
+def test_links_are_shuffled_as_they_are(spark):
+    ids = spark.createDataFrame([("e1", 5), ("e1", 5), ("e2", 6), (None, 7)], "event_id string, value long")
+    more = spark.createDataFrame([("e1", 8), ("e3", None)], "event_id string, value long")
+    names = spark.createDataFrame([("e1", "n")], "event_id string, value string")
+    alike = gathered_links({"g": ids, "l": more})
+    assert "Aggregate" not in before_first_shuffle(alike)
+    assert rows(alike) == [("e1", 5, 8), ("e2", 6, None), ("e3", None, None)]
+    assert rows(gathered_links({"g": ids, "l": names})) == [("e1", 5, "n"), ("e2", 6, None)]
