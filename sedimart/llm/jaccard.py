@@ -242,12 +242,13 @@ class Join:
 
     def _add(self, pairs: DataFrame) -> None:
         """Verify the pairs (a, b) on their whole sets and keep those that link."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        # each step is staged, so that the shuffles of the one before, wider than its result, are gone from disk
+        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         # the other orders: both must share a token of the prefix under each of them
         for side in "ab":
             pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
         marks = [f"{c}_{side}" for c in ORDERS for side in "ab"]
-        pairs = pairs.select("a", "b", *marks).mapInArrow(_sharing, "a long, b long")
+        pairs = stage(pairs.select("a", "b", *marks).mapInArrow(_sharing, "a long, b long"), "sharing")
         for side in "ba":
             pairs = pairs.join(self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
         found = stage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")

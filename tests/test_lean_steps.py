@@ -36,3 +36,15 @@ def test_links_are_shuffled_as_they_are(spark):
     assert "Aggregate" not in before_first_shuffle(alike)
     assert rows(alike) == [("e1", 5, 8), ("e2", 6, None), ("e3", None, None)]
     assert rows(gathered_links({"g": ids, "l": names})) == [("e1", 5, "n"), ("e2", 6, None)]
+
+
+def test_a_stage_leaves_no_shuffle(spark):
+    shuffles = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = shuffles()
+    kept = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")).repartition(3, "n"))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert kept.count() == 7
