@@ -26,6 +26,8 @@ CONTEXT, WIDTH, NOISE, EPOCHS, BATCH, SEED = 3, 16, 64, 2, 1024, 11
 TASK_TOKENS, BLOCK = 1_000_000, 50_000
 #: Tokens whose classes are normalised together.
 TOGETHER = 1024
+#: Logits up to this size, either way, have exponentials that add up as they are.
+FLAT = 60
 END = b""
 
 
@@ -111,15 +113,19 @@ class LogBilinear:
     def log_chances(self, ids: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """Natural logarithms of the chances of ``ids``, normalised over all classes."""
         found = np.empty(len(ids))
+        # the bias is one more component, so that the product adds it
+        out, ones = np.vstack([self.out.T, self.bias]), np.ones(self.classes, np.float32)
+        longest, highest = np.linalg.norm(self.out, axis=1).max(), np.abs(self.bias).max()
         for at in range(0, len(ids), TOGETHER):
             rows = slice(at, at + TOGETHER)
-            logits = self.predict(contexts[:, rows]) @ self.out.T
-            logits += self.bias
-            top = logits.max(1, keepdims=True)
-            right = logits[np.arange(len(logits)), ids[rows]] - top[:, 0]
-            logits -= top
+            vector = self.predict(contexts[:, rows])
+            logits = np.hstack([vector, np.ones((len(vector), 1), np.float32)]) @ out
+            right = logits[np.arange(len(logits)), ids[rows]]
+            if np.sqrt((vector * vector).sum(1).max()) * longest + highest > FLAT:
+                top = logits.max(1, keepdims=True)
+                right, logits = right - top[:, 0], logits - top
             np.exp(logits, out=logits)
-            found[rows] = right - np.log(logits.sum(1))
+            found[rows] = right - np.log(logits @ ones)
         return found
 
 
@@ -171,10 +177,10 @@ class Vocabulary:
             self._classes = np.array([*(self.heads[w] if w in self.heads else _tail(w) for w in self.known), 0])
         other = len(self._places)
         get = self._places.get
-        found = np.array([get(w, other) for w in tokens], dtype=np.int64)
+        found = np.fromiter(map(get, tokens, itertools.repeat(other)), np.int64, len(tokens))
         classes = self._classes[found]
-        for i in np.flatnonzero(found == other).tolist():
-            classes[i] = 0 if tokens[i] == END else _tail(tokens[i])
+        rare = np.flatnonzero(found == other)
+        classes[rare] = [_tail(w) if w else 0 for w in map(tokens.__getitem__, rare.tolist())]
         return found, classes
 
     def ids(self, tokens: list[bytes]) -> np.ndarray:
@@ -299,9 +305,8 @@ def _scored(model: LogBilinear, known: dict[bytes, float], vocab: Vocabulary):
                 rare = np.flatnonzero(place == other)
                 sums = lambda values: np.add.reduceat(values, starts[:-1]).tolist()  # noqa: E731, B023
                 scores, bases, knowns = sums(score), sums(log), sums((place != other).astype(np.int64))
-                others: list[Counter] = [Counter() for _ in texts]
-                for i, text in zip(rare.tolist(), (np.searchsorted(starts, rare, side="right") - 1).tolist(), strict=True):
-                    others[text][tokens[i]] += 1
+                words_of = [tokens[i] for i in rare.tolist()]
+                others = [Counter(words_of[a:b]) for a, b in itertools.pairwise(np.searchsorted(rare, starts).tolist())]
                 out: dict[str, list] = {c: [] for c in ("of", "doc", "word", "times", "tokens", "known", "score", "base")}
                 for i in range(len(texts)):
                     own = others[i]

@@ -5,6 +5,20 @@ import numpy as np
 from sedimart.llm import ann, jaccard, lm
 
 
+def test_chances_add_up_with_small_and_large_logits():
+    draw = np.random.default_rng(0)
+    model = lm.LogBilinear(8, np.full(8, 1 / 8))
+    ids = draw.integers(0, 8, 3000)
+    contexts = model.contexts(ids)
+    for factor in (1, 300):
+        model.out *= factor
+        logits = (model.predict(contexts) @ model.out.T + model.bias).astype(np.float64)
+        top = logits.max(1)
+        assert (np.abs(logits).max() > lm.FLAT) == (factor > 1)
+        right = logits[np.arange(len(ids)), ids] - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        np.testing.assert_allclose(model.log_chances(ids, contexts), right, rtol=1e-3, atol=1e-3)
+
+
 def test_pairs_are_staged_before_their_texts_come(spark, monkeypatch):
     names = []
     monkeypatch.setattr(jaccard, "stage", lambda df, name: (names.append(name), kept(df, name))[1])
