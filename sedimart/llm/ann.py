@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sedimart.session import stage
@@ -14,6 +16,8 @@ from sedimart.session import stage
 #: Projections; the share of them in which a candidate collides; the first half width of a window and its
 #: growth, in lengths of the longest vector.
 PROJECTIONS, THRESHOLD, WIDTH, GROWTH = 48, 0.75, 0.4, 1.2
+#: Windows whose places are looked up for all queries at once.
+STEPS = 10
 #: The chance at most that a vector as near as the last one wanted collides too seldom when the search ends.
 MISS = 0.05
 SEED = 5
@@ -46,7 +50,8 @@ def reach(projections: int, need: int, miss: float) -> float:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in column.to_pylist()])
+    """Vectors of one length as rows."""
+    return pc.list_flatten(column).to_numpy().reshape(len(column), -1)
 
 
 class Projections:
@@ -64,6 +69,16 @@ class Projections:
         self.values = np.take_along_axis(values.T, self.order, axis=1)
         self.scale = bound
 
+    def _steps(self, places: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(width, first places, last places) of the first windows of all queries, as they grow if nothing ends them."""
+        steps, width = [], WIDTH * self.scale
+        for _ in range(STEPS):
+            lows = [v.searchsorted(a - width) for v, a in zip(self.values, places.T, strict=True)]
+            highs = [v.searchsorted(a + width, side="right") for v, a in zip(self.values, places.T, strict=True)]
+            steps.append((width, np.array(lows).T, np.array(highs).T))
+            width *= GROWTH
+        return steps
+
     def search(self, queries: np.ndarray, own: np.ndarray, directions: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query, the places and products of the vectors that collide with it in enough projections.
 
@@ -78,14 +93,18 @@ class Projections:
         wide = reach(len(directions), need, MISS)
         lengths = np.linalg.norm(queries, axis=1)
         places = (queries * (self.scale / lengths[:, None])) @ directions[:, :-1].T
-        for query, length, at, mine in zip(queries, lengths, places, own, strict=True):
+        steps = self._steps(places)
+        for i, (query, length, at, mine) in enumerate(zip(queries, lengths, places, own, strict=True)):
             counts, fresh = np.zeros(n, np.int64), np.ones(n, dtype=bool)
             fresh[mine : mine + 1 if mine >= 0 else mine] = False
             found, products = np.zeros(0, np.int64), np.zeros(0)
             width, low, high = WIDTH * self.scale, None, None
-            while True:
-                lows = [v.searchsorted(a - width) for v, a in zip(self.values, at, strict=True)]
-                highs = [v.searchsorted(a + width, side="right") for v, a in zip(self.values, at, strict=True)]
+            for step in itertools.count():
+                if step < len(steps) and steps[step][0] == width:
+                    lows, highs = (side[i].tolist() for side in steps[step][1:])
+                else:
+                    lows = [v.searchsorted(a - width) for v, a in zip(self.values, at, strict=True)]
+                    highs = [v.searchsorted(a + width, side="right") for v, a in zip(self.values, at, strict=True)]
                 if low is None:
                     new = [order[a:b] for order, a, b in zip(self.order, lows, highs, strict=True)]
                 else:

@@ -19,6 +19,18 @@ def test_chances_add_up_with_small_and_large_logits():
         np.testing.assert_allclose(model.log_chances(ids, contexts), right, rtol=1e-3, atol=1e-3)
 
 
+def test_first_windows_are_looked_up_together():
+    draw = np.random.default_rng(1)
+    vectors, directions = draw.standard_normal((300, 6)), draw.standard_normal((ann.PROJECTIONS, 7))
+    index = ann.Projections(vectors, np.linalg.norm(vectors, axis=1).max(), directions)
+    queries, own = vectors[:9], np.arange(9)
+    together = list(index.search(queries, own, directions, 5))
+    assert len(index._steps(queries @ directions[:, :-1].T)) == ann.STEPS
+    index._steps = lambda places: []
+    for (a, x), (b, y) in zip(together, index.search(queries, own, directions, 5), strict=True):
+        assert a.tolist() == b.tolist() and x.tolist() == y.tolist()
+
+
 def test_pairs_are_staged_before_their_texts_come(spark, monkeypatch):
     names = []
     monkeypatch.setattr(jaccard, "stage", lambda df, name: (names.append(name), kept(df, name))[1])
