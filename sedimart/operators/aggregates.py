@@ -52,7 +52,7 @@ def eav_pivot(
     ``_source`` twin.  Owners without any listed attribute keep a row of NULLs.  Repeats are
     removed first, spread over all values, so a hot owner reaches its output cells with its
     distinct values only.  The task that reads the facts gathers nothing, however many it reads.
-    Cells are dealt by owner before any row as wide as the table is made of them.
+    They are dealt by owner before cells, and any row as wide as the table, are made of them.
     """
     listed = F.col(name_col).isin(list(attrs))
     facts = [F.when(listed, F.col(c)).alias(a) for c, a in ((name_col, "__name"), (value_col, "__value"))]
@@ -62,8 +62,8 @@ def eav_pivot(
         kinds["_source"] = "__source"
     narrow = df.select(owner, *facts)
     distinct = narrow.repartition(*narrow.columns).distinct()
-    cells = distinct.groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
-    return cells.repartition(owner).groupBy(owner).agg(
+    cells = distinct.repartition(owner).groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
+    return cells.groupBy(owner).agg(
         *[
             F.max(F.when(F.col("__name") == name, F.col(c))).alias(out + suffix)
             for name, out in attrs.items()
