@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sedimart.session import deal
+
 
 def labelled_cube(
     df: DataFrame, dims: dict[str, Column], counters: dict[str, Column], label: str = "all", compat: bool = False
@@ -45,6 +47,7 @@ def eav_pivot(
     attrs: dict[str, str],
     source_col: str | None = None,
     sep: str = ", ",
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per owner, one column per attribute: its distinct values, sorted and joined.
 
@@ -53,6 +56,7 @@ def eav_pivot(
     removed first, spread over all values, so a hot owner reaches its output cells with its
     distinct values only.  The task that reads the facts gathers nothing, however many it reads.
     They are dealt by owner before cells, and any row as wide as the table, are made of them.
+    Both times the number of tasks follows the number of facts: ``rows``, else they are counted.
     """
     listed = F.col(name_col).isin(list(attrs))
     facts = [F.when(listed, F.col(c)).alias(a) for c, a in ((name_col, "__name"), (value_col, "__value"))]
@@ -61,8 +65,9 @@ def eav_pivot(
         facts.append(F.when(listed, F.col(source_col)).alias("__source"))
         kinds["_source"] = "__source"
     narrow = df.select(owner, *facts)
-    distinct = narrow.repartition(*narrow.columns).distinct()
-    cells = distinct.repartition(owner).groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
+    rows = df.count() if rows is None else rows
+    distinct = deal(narrow, rows, *narrow.columns).distinct()
+    cells = deal(distinct, rows, owner).groupBy(owner, "__name").agg(*[_sorted_text(c, sep).alias(c) for c in kinds.values()])
     return cells.groupBy(owner).agg(
         *[
             F.max(F.when(F.col("__name") == name, F.col(c))).alias(out + suffix)

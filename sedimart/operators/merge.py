@@ -17,6 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sedimart.session import deal
+
 SRC = "__src_"
 
 
@@ -91,6 +93,7 @@ def merge_conditional(
     insert_if: Callable[[Callable[[str], Column]], Column] | None = None,
     order_by: list[Column] | None = None,
     unique: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """MERGE with conditions on the source row, in one shuffle of both tables.
 
@@ -98,8 +101,11 @@ def merge_conditional(
     ``insert_if`` get a function that looks up a source column.  A target row that several source
     rows would update is an error; with ``unique``, so is any repeated key of the source.  With
     ``order_by`` the first source row of a key by that order stands for all of them.
+    ``rows`` tells about how many rows both sides have, if the tasks are to follow that.
     """
     both = _side_by_side(target, source, keys)
+    if rows is not None:
+        both = deal(both, rows, *keys, "__lone")
     own = Window.partitionBy(*keys, "__lone").orderBy("__new", *(order_by or []))
     group = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     new = F.col("__new")
@@ -129,13 +135,14 @@ def upsert(
     keys: list[str],
     set_cols: list[str],
     order_by: list[Column] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """ON CONFLICT (keys) DO UPDATE SET set_cols; other columns keep the stored value.
 
-    A key that repeats in the source is an error, unless ``order_by`` says which row wins.
+    A key that repeats in the source is an error, unless ``order_by`` says which row wins. ``rows`` as above.
     """
     update = {c: (lambda old, new: new) for c in set_cols if c not in keys}
-    return merge_conditional(target, source, keys, update, order_by=order_by, unique=True)
+    return merge_conditional(target, source, keys, update, order_by=order_by, unique=True, rows=rows)
 
 
 def update_from(

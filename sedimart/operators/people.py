@@ -13,7 +13,7 @@ from sedimart.functions.fixed import MEMBER_BIRTHDAY, MEMBER_SOURCE, NAME_PARAM,
 from sedimart.operators.aggregates import eav_pivot, sorted_set
 from sedimart.operators.merge import upsert
 from sedimart.operators.ranking import completeness_dedupe
-from sedimart.session import stage
+from sedimart.session import deal, stage
 
 
 def name_words(col: Col) -> Column:
@@ -21,14 +21,16 @@ def name_words(col: Col) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(as_col(col)), r"\s+", " ")), " ")
 
 
-def name_parts(df: DataFrame, owner: str, col: str) -> DataFrame:
+def name_parts(df: DataFrame, owner: str, col: str, rows: int | None = None) -> DataFrame:
     """Per owner the sets of words at the places a first or last name can have.
 
     ``w1`` and ``w2`` come from names of two words or more, ``t1`` and ``t3`` from names of three.
-    Names are dealt out before any are gathered.
+    Names are dealt out before any are gathered, to as many tasks as ``rows``, else their count, asks for.
     """
+    rows = df.count() if rows is None else rows
     named = df.select(owner, F.col(col).alias("__name"))
-    worded = named.repartition(*named.columns).distinct().withColumn("__w", name_words("__name"))
+    distinct = deal(named, rows, *named.columns).distinct()
+    worded = deal(distinct, rows, owner).withColumn("__w", name_words("__name"))
     many, three = F.size("__w") >= 2, F.size("__w") == 3
     word = lambda i: F.get("__w", F.lit(i - 1))
     return worded.groupBy(owner).agg(
@@ -76,9 +78,10 @@ def person_facts(info: DataFrame, param: DataFrame, source: DataFrame) -> DataFr
 
 
 def user_table(facts: DataFrame) -> DataFrame:
-    """One row per user: attributes, their sources, and the name sets."""
-    wide = eav_pivot(facts, "owner_id", "name", "value", PERSON_PARAMS, "source")
-    named = name_parts(facts.filter(F.col("name") == NAME_PARAM), "owner_id", "value")
+    """One row per user: attributes, their sources, and the name sets, dealt out alike by the number of facts."""
+    rows = facts.count()
+    wide = eav_pivot(facts, "owner_id", "name", "value", PERSON_PARAMS, "source", rows=rows)
+    named = name_parts(facts.filter(F.col("name") == NAME_PARAM), "owner_id", "value", rows)
     return wide.join(named, "owner_id", "left").withColumnRenamed("owner_id", "user_id")
 
 
@@ -262,23 +265,27 @@ def satellite_rows(combined: DataFrame, spec: Satellite, as_of: str) -> DataFram
     return rows.distinct().withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
 
 
-def change_set(combined: DataFrame, specs: Sequence[Satellite], as_of: str) -> DataFrame:
+def change_set(combined: DataFrame, specs: Sequence[Satellite], as_of: str, rows: int | None = None) -> DataFrame:
     """(satellite, user_id, key, values, source, created, modified, is_deleted) for all attribute tables, in one pass.
 
     ``key`` is the value that, with the user, tells rows of a table apart; ``values`` maps the table's
-    columns to their values as text.
+    columns to their values as text. Persons are dealt out by ``rows``, about how many offers they make,
+    before these are made, so that equal ones meet without another shuffle.
     """
+    rows = combined.count() * len(specs) if rows is None else rows
     now = F.lit(as_of).cast("timestamp")
     offers = []
     for spec in specs:
         values = F.create_map(*[x for column, c in spec.values.items() for x in (F.lit(column), F.col(c).cast("string"))])
         row = F.struct(F.lit(spec.table).alias("satellite"), F.col(spec.values[spec.value_key]).cast("string").alias("key"), values.alias("values"), _source_of(spec).alias("source"))
         offers.append(F.when(_offered(spec), row))
-    opened = combined.select(F.col("user_id").cast("int").alias("user_id"), F.explode(F.array_compact(F.array(*offers))).alias("o"))
-    rows = opened.select("o.satellite", "user_id", "o.key", "o.values", "o.source")
+    dealt = deal(combined.withColumn("user_id", F.col("user_id").cast("int")), rows, "user_id")
+    opened = dealt.select("user_id", F.explode(F.array_compact(F.array(*offers))).alias("o"))
+    offers = opened.select("o.satellite", "user_id", "o.key", "o.values", "o.source")
     # equal offers are one; maps are compared as their sorted entries
-    rows = rows.withColumn("__entries", F.array_sort(F.map_entries("values"))).dropDuplicates(["satellite", "user_id", "key", "source", "__entries"]).drop("__entries")
-    return rows.withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
+    alike = ["satellite", "user_id", "key", "source", "__entries"]
+    offers = offers.withColumn("__entries", F.array_sort(F.map_entries("values"))).dropDuplicates(alike).drop("__entries")
+    return offers.withColumns({"created": now, "modified": now, "is_deleted": F.lit(False)})
 
 
 def as_long(table: DataFrame, spec: Satellite) -> DataFrame:
@@ -295,11 +302,13 @@ def merge_satellites(stored: dict[str, DataFrame], combined: DataFrame, as_of: s
 
     The tables are put together in long form, meet one change set in one upsert, and are told apart
     again as they are written, each into a folder of its own; the tables handed back read theirs alone,
-    with the types they came with.
+    with the types they came with. The tasks follow the number of rows that the persons may offer, and
+    as many again for what is stored.
     """
     tables = [s for s in specs if s.table in stored]
+    rows = combined.count() * len(tables)
     long = reduce(DataFrame.unionByName, [as_long(stored[s.table], s) for s in tables])
-    merged = upsert(long, change_set(combined, tables, as_of), ["satellite", "user_id", "key"], ["values", "source", "modified"])
+    merged = upsert(long, change_set(combined, tables, as_of, rows), ["satellite", "user_id", "key"], ["values", "source", "modified"], rows=2 * rows)
     written = stage(merged, "satellites", "satellite")
     out = {}
     for spec in tables:
