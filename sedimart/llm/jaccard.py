@@ -25,6 +25,8 @@ SIGNED = [f"sign{i}" for i in range(SIGNATURE)]
 #: The orders by hash alone, with their salts.
 ORDERS = {"second": 6, "third": 7}
 TOGETHER = 100
+#: Pairs to verify; ``weight`` is the size of a's set.
+SHARING = "a long, b long, weight long"
 
 
 def _batch(kinds: str, columns: dict) -> pa.RecordBatch:
@@ -187,7 +189,7 @@ def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     else:
                         shown[one] = True
                         kept[i] = shown[two].any()
-        yield _batch("a long, b long", {"a": batch["a"], "b": batch["b"]}).filter(pa.array(kept))
+        yield _batch(SHARING, {c: batch[c] for c in ("a", "b", "weight")}).filter(pa.array(kept))
 
 
 class Join:
@@ -217,6 +219,7 @@ class Join:
         # a key may stand for several texts: the digest of each says whose it is
         found = docs.join(keys, docs["key"].eqNullSafe(keys["key"]), "left_semi").mapInArrow(_noded(n), "node long, text string")
         self.texts = stage(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+        self.weight = self.nodes.agg(F.sum("size")).first()[0] or 0
         self.links: DataFrame | None = None
 
     def _labelled(self) -> DataFrame:
@@ -246,13 +249,18 @@ class Join:
         pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         # the other orders: both must share a token of the prefix under each of them
         for side in "ab":
-            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
+            weight = [F.col("size").alias("weight")] if side == "a" else []
+            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), *weight, *[F.col(c).alias(f"{c}_{side}") for c in ORDERS]), side)
         marks = [f"{c}_{side}" for c in ORDERS for side in "ab"]
-        pairs = stage(pairs.select("a", "b", *marks).mapInArrow(_sharing, "a long, b long"), "sharing")
-        for side in "ba":
-            pairs = pairs.join(self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
-        found = stage(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")
-        self.links = found if self.links is None else self.links.unionByName(found)
+        pairs = stage(pairs.select("a", "b", "weight", *marks).mapInArrow(_sharing, SHARING), "sharing")
+        # each pair carries the text of a to that of b: all pairs in turn, about as much text at a time as the sets have
+        parts = max(1, -(-(pairs.agg(F.sum("weight")).first()[0] or 0) // max(1, self.weight)))
+        for part in range(parts):
+            within = lambda c, part=part: F.pmod(F.xxhash64(c), F.lit(parts)) == part
+            text = lambda side: self.texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+            both = pairs.filter(within("a")).select("a", "b").join(text("a").filter(within("a")), "a").join(text("b"), "b")
+            found = stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(self.n, self.percent), "a long, b long"), "found")
+            self.links = found if self.links is None else self.links.unionByName(found)
 
     def against_pivots(self, rounds: range) -> None:
         """Hold each token's sets against one of them that a hash picks, other than those in its group already."""

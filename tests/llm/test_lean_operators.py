@@ -41,4 +41,18 @@ def test_pairs_are_staged_before_their_texts_come(spark, monkeypatch):
     assert names.count("pairs") == names.count("sharing") == names.count("found") == 3
 
 
+def test_pairs_of_much_text_are_verified_in_turn(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(jaccard, "stage", lambda df, name: (names.append(name), kept(df, name))[1])
+    monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(i, text + f" {i}") for i in range(12)], "doc_id long, text string")
+    join = jaccard.Join(docs.withColumnRenamed("doc_id", "key"), 5, 80)
+    join.against_all()
+    assert names.count("sharing") == 1 and names.count("found") > 3
+    nodes = {r["node"] for r in join.nodes.collect()}
+    links = [(r["a"], r["b"]) for r in join.links.collect()]
+    assert len(nodes) == 12 and sorted(links) == sorted((a, b) for a in nodes for b in nodes if a < b)
+
+
 kept = jaccard.stage
