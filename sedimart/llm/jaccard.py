@@ -8,15 +8,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sedimart.llm.shingles import mix, shingle_sets
 from sedimart.session import stage
 
 WORDS, PERCENT = 5, 80
-#: Counters that tokens fall into by their hash, and how often a task must meet one to report it. Tokens
-#: of reported counters come last in the first order, the more often the later.
-COUNTERS, OFTEN = 1 << 22, 8
+#: The share of all tokens, by their hash, that come before the others in the first order, the seldom ones first.
+FRONT = 0.34
 #: Rounds in which every token's texts are held against one of them, before all pairs that are left.
 PIVOTS = 4
 #: Words of 64 bits in a set's signature.
@@ -38,13 +37,15 @@ def _batch(kinds: str, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _counter(shingles: np.ndarray) -> np.ndarray:
-    return (mix(shingles, 9) % np.uint64(COUNTERS)).astype(np.int64)
+def _front(shingles: np.ndarray) -> np.ndarray:
+    """Whether each token is one of the share whose sets are counted."""
+    return mix(shingles, 9) < np.uint64(int(FRONT * 2.0**64))
 
 
 def prefix_length(size, percent: int):
     """How many first tokens, under any order, two sets must show to share one, if their similarity reaches percent."""
-    return size - (percent * size + 99) // 100 + 1
+    least = percent * size + 99
+    return size - (F.floor(least / 100) if isinstance(size, Column) else least // 100) + 1
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -65,60 +66,50 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
-def _firsts(shingles: np.ndarray, percent: int, salt: int, counts: np.ndarray | None = None) -> np.ndarray:
-    """The prefix of a set under the order by (count, hash), its tokens in no order of their own."""
+def _firsts(shingles: np.ndarray, percent: int, salt: int) -> np.ndarray:
+    """The prefix of a set under the order by hash, its tokens in no order of their own."""
     place, n = mix(shingles, salt), prefix_length(len(shingles), percent)
-    if counts is not None:
-        # the count in the first bits of the place
-        place = (np.minimum(counts[_counter(shingles)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (place >> np.uint64(24))
     first = np.argpartition(place, n - 1)[:n]
     if np.count_nonzero(place == place[first].max()) > 1:  # ties go by the token itself
         first = np.lexsort((shingles, place))[:n]
     return shingles[first]
 
 
+def _candidates(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens that may be in the set's prefix under the first order: all of the front share, others where these are too few."""
+    front, n = _front(shingles), prefix_length(len(shingles), percent)
+    if (short := n - np.count_nonzero(front)) <= 0:
+        return shingles[front]
+    others = shingles[~front]
+    return np.concatenate([shingles[front], others[np.lexsort((others, mix(others, 5)))[:short]]])
+
+
 def _described(n: int, percent: int, kinds: str, carry: Sequence[str] = ()):
-    """Each text's set in short, and, in rows of their own in the end, the counters that the task met often.
+    """Each text's set in short.
 
-    ``second`` and ``third`` are the prefixes under the orders by hash, each token as 16 bits. A set is
-    counted once for all its copies in the task.
+    ``second`` and ``third`` are the prefixes under the orders by hash, each token as 16 bits;
+    ``candidates`` tells how many tokens may be in the prefix under the first.
     """
-    blank = [c for c in ("key", "size", "node", *SIGNED, *ORDERS, *carry)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen, schema = np.zeros(COUNTERS, np.uint32), set(), None
         for part, sets in _sets(batches, n):
             signs = np.array([_signature(s) for s in sets]).reshape(-1, SIGNATURE)
             nodes = [_digest(s) if len(s) else None for s in sets]
             marks = {c: pa.array([mix(_firsts(s, percent, salt), 3).astype(np.uint16).tobytes() if len(s) else None for s in sets], pa.binary()) for c, salt in ORDERS.items()}
-            new = [s for s, node in zip(sets, nodes, strict=True) if node is not None and node not in seen and not seen.add(node)]
-            if new:
-                met, times = np.unique(_counter(np.concatenate(new)), return_counts=True)
-                counts[met] += times.astype(np.uint32)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            columns = {"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": pa.array(nodes, pa.int64())}
+            candidates = [max(np.count_nonzero(_front(s)), prefix_length(len(s), percent)) for s in sets]
+            columns = {"key": part["key"], "size": pa.array(map(len, sets), pa.int64()), "node": pa.array(nodes, pa.int64()), "candidates": pa.array(candidates, pa.int64())}
             columns |= {c: signs[:, i] for i, c in enumerate(SIGNED)} | marks | {c: part[c] for c in carry}
-            nothing = pa.nulls(len(sets), pa.int64())
-            batch = _batch(kinds, columns | {"counter": nothing, "times": nothing})
-            schema = batch.schema
-            yield batch
-        often = np.flatnonzero(counts >= OFTEN)
-        if len(often):
-            none = {c: pa.nulls(len(often), schema.field(c).type) for c in blank}
-            yield _batch(kinds, none | {"counter": pa.array(often), "times": pa.array(counts[often].astype(np.int64))})
+            yield _batch(kinds, columns)
 
     return run
 
 
-def _shown(n: int, percent: int, often: tuple[np.ndarray, np.ndarray]):
-    """The tokens of each text's prefix under the first order: those of seldom counters first."""
+def _shown(n: int, percent: int):
+    """The tokens that may be in each text's prefix under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
-        counts[often[0]] = often[1]
         for _, sets in _sets(batches, n):
-            firsts = {_digest(s): _firsts(s, percent, 5, counts) for s in sets if len(s)}
+            firsts = {_digest(s): _candidates(s, percent) for s in sets if len(s)}
             if firsts:
                 owner = np.repeat(np.array(list(firsts), np.int64), [len(f) for f in firsts.values()])
                 yield _batch("token long, node long", {"token": np.concatenate(list(firsts.values())).view(np.int64), "node": owner})
@@ -198,22 +189,23 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, carry: Sequence[str] = ()):
         """``docs`` has key, text and the columns of ``carry``."""
         self.n, self.percent = n, percent
-        kinds = "key long, size long, node long, " + ", ".join(f"{c} long" for c in SIGNED) + "".join(f", {c} binary" for c in ORDERS)
-        kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", counter long, times long"
-        described = stage(docs.mapInArrow(_described(n, percent, kinds, carry), kinds), "described")
-        self.rows = described.filter("counter is null").drop("counter", "times")
-        one = [F.first(c).alias(c) for c in ("size", *SIGNED, *ORDERS)]
+        kinds = "key long, size long, node long, candidates long, " + ", ".join(f"{c} long" for c in SIGNED) + "".join(f", {c} binary" for c in ORDERS)
+        kinds += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+        self.rows = stage(docs.mapInArrow(_described(n, percent, kinds, carry), kinds), "described")
+        one = [F.first(c).alias(c) for c in ("size", "candidates", *SIGNED, *ORDERS)]
         nodes = self.rows.filter("node is not null").groupBy("node").agg(F.min("key").alias("key"), *one)
         self.nodes = stage(nodes.withColumn("band", _band("size", percent)), "nodes")
-        # one row for each counter at most
-        often = described.filter("counter is not null").groupBy("counter").agg(F.sum("times").alias("times")).toArrow()
-        often = tuple(often[c].to_numpy() for c in ("counter", "times"))
-        shown = docs.mapInArrow(_shown(n, percent, often), "token long, node long")
-        ends = shown.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("token")
-        met = shown.join(ends, "token").dropDuplicates(["token", "node"])
+        shown = docs.mapInArrow(_shown(n, percent), "token long, node long")
+        # how many sets have each token; the first count, of copies too, only drops the many tokens that nothing shares
+        times = F.count("*").over(Window.partitionBy("token"))
+        met = shown.withColumn("n_sets", times).filter("n_sets > 1").dropDuplicates(["token", "node"]).withColumn("n_sets", times).filter("n_sets > 1")
         # a node's tokens are no more than its prefix; they stand next to its signature once, not each
-        tokens = met.groupBy("node").agg(F.collect_list("token").alias("tokens"))
-        self.shown = stage(tokens.join(self.nodes.select("node", "size", "band", *SIGNED), "node"), "prefixes")
+        tokens = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n_sets", "token")))["token"].alias("tokens"))
+        near = tokens.join(self.nodes.select("node", "size", "band", "candidates", *SIGNED), "node")
+        # tokens of its own come first in the prefix, as many as candidates are in no other set
+        left = prefix_length(F.col("size"), percent) - F.col("candidates") + F.size("tokens")
+        near = near.withColumn("tokens", F.slice("tokens", 1, F.greatest(left, F.lit(0)).cast("int"))).filter("size(tokens) > 0")
+        self.shown = stage(near.drop("candidates"), "prefixes")
         wanted = self.shown.select("node")
         keys = self.nodes.join(wanted, "node", "left_semi").select("key").distinct()
         # a key may stand for several texts: the digest of each says whose it is
@@ -317,9 +309,9 @@ def link_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     words it is empty and linked with nothing. Two sets link if 100 * common >= percent * union.
 
     Documents of equal sets become one node. Under any one order of all tokens, two sets that link
-    share a token among the first of each. The first order has seldom tokens before frequent ones, by a
-    table of counters of fixed size; tokens of one set alone never meet another. Candidates share a
-    prefix token under it, and under two more orders by hash, whose prefixes each set carries in short.
+    share a token among the first of each. The first order has a share of the tokens, by their hash,
+    before the others, and of these the ones that fewer sets have before those that more have, by exact
+    counts; tokens of one set alone never meet another. Candidates share a prefix token under it, and under two more orders by hash, whose prefixes each set carries in short.
     A token that many sets show would make all pairs of them, so they are first held against pivots;
     sets that links have joined by then are not paired again, and the last pass pairs whatever still
     lies in different groups, by bands of size, so no link between groups is lost. Before a pair is made,

@@ -24,6 +24,8 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
+#: What each byte adds to its word's hash, before the powers.
+VALUES = mix(LOWER.astype(np.uint64), 1)
 #: Powers that a task keeps of each base, at most; longer rows of them are worked out anew.
 KEPT = 1 << 22
 _kept: dict[int, np.ndarray] = {}
@@ -57,7 +59,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         return np.zeros(0, np.uint64), first, begin, end
     # Horner's rule backwards: the sum of byte * base**place, divided by base**begin through its inverse
     powers = _powers(BYTE, len(flat))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((mix(LOWER[flat].astype(np.uint64), 1)) * powers)])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[flat] * powers)])
     inverse = np.uint64(pow(int(BYTE), -1, 2**64))
     values = (sums[end] - sums[begin]) * _powers(inverse, len(flat))[begin]
     return mix(values + (end - begin).astype(np.uint64)), first, begin, end
