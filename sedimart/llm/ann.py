@@ -21,6 +21,8 @@ STEPS = 10
 #: The chance at most that a vector as near as the last one wanted collides too seldom when the search ends.
 MISS = 0.05
 SEED = 5
+#: More than products of a matrix may differ from sums row by row, in products of the lengths.
+ROUNDING = 1e-9
 #: Vectors in a block of the index, and queries in a block of queries.
 BLOCK, QUERIES = 8192, 512
 
@@ -80,7 +82,7 @@ class Projections:
         return steps
 
     def search(self, queries: np.ndarray, own: np.ndarray, directions: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query, the places and products of the vectors that collide with it in enough projections.
+        """For each query, the places and products of the nearest ``k`` vectors, or more, that collide with it in enough projections.
 
         Windows around the query's own projections begin narrow and grow together; each step only
         counts what lies between the last windows and the new ones, and verifies the vectors that
@@ -114,8 +116,7 @@ class Projections:
                 low, high = lows, highs
                 more = np.flatnonzero((counts >= need) & fresh)
                 fresh[more] = False
-                # summed row by row, so equal vectors have equal products wherever they stand
-                found, products = np.concatenate([found, more]), np.concatenate([products, (self.vectors[more] * query).sum(1)])
+                found, products = np.concatenate([found, more]), np.concatenate([products, self.vectors.take(more, axis=0) @ query])
                 if max(low) == 0 and min(high) == n:
                     break
                 if len(found) >= k:
@@ -126,7 +127,12 @@ class Projections:
                     width = min(width * GROWTH, enough)
                 else:
                     width *= GROWTH
-            yield found, products
+            if len(found) > k:
+                # a matrix product may round the k-th one away: what is as near but for rounding stays
+                last = np.partition(products, len(products) - k)[len(products) - k]
+                found = found[~(products < last - ROUNDING * self.scale * length)]
+            # summed row by row, so equal vectors have equal products wherever they stand
+            yield found, (self.vectors[found] * query).sum(1)
 
 
 def _searched(k: int, bound: float):

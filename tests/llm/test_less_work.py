@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from sedimart.llm import jaccard
+from sedimart.llm import ann, jaccard
 
 
 def test_passages_that_two_texts_share_make_no_pairs(spark):
@@ -23,3 +23,13 @@ def test_candidates_hold_the_prefix():
         found = jaccard._candidates(shingles, 80)
         assert len(found) >= jaccard.prefix_length(size, 80) and len(np.unique(found)) == len(found)
         assert set(shingles[jaccard._front(shingles)].tolist()) <= set(found.tolist()) <= set(shingles.tolist())
+
+
+def test_search_gives_the_nearest_not_all_that_it_met():
+    draw = np.random.default_rng(4)
+    vectors, directions = draw.standard_normal((400, 8)), draw.standard_normal((ann.PROJECTIONS, 9))
+    vectors[30] = vectors[31]
+    index = ann.Projections(vectors, np.linalg.norm(vectors, axis=1).max(), directions)
+    for i, (found, products) in enumerate(index.search(vectors, np.arange(400), directions, 5)):
+        assert 5 <= len(found) <= 7
+        assert products.tolist() == (vectors[found] * vectors[i]).sum(1).tolist()
