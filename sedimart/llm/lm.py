@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sedimart.session import stage
@@ -24,6 +25,8 @@ COUNTED = 200_000
 CONTEXT, WIDTH, NOISE, EPOCHS, BATCH, SEED = 3, 16, 64, 2, 1024, 11
 #: Tokens that a task trains on, about; and after so many a block of whole texts ends.
 TASK_TOKENS, BLOCK = 1_000_000, 50_000
+#: Texts whose words are looked up together.
+TEXTS = 1000
 #: Tokens whose classes are normalised together.
 TOGETHER = 1024
 #: Logits up to this size, either way, have exponentials that add up as they are.
@@ -90,11 +93,15 @@ class LogBilinear:
             vector, false = self.predict(before), self.out[noise]
             true = self.out[right]
             d_right = 1 / (1 + np.exp(prior[right] - self.bias[right] - (vector * true).sum(1))) - 1
-            d_noise = 1 / (1 + np.exp(prior[noise] - self.bias[noise] - vector @ false.T))
+            d_noise = vector @ false.T
+            np.exp(np.subtract(prior[noise] - self.bias[noise], d_noise, out=d_noise), out=d_noise)
+            d_noise += 1
+            np.reciprocal(d_noise, out=d_noise)
             d_vector = d_right[:, None] * true + d_noise @ false
             slope[:] = 0
+            wide = d_vector.astype(np.float64)
             for i in range(CONTEXT):
-                _add_by_class(into[i], before[i], d_vector)
+                _add_by_class(into[i], before[i], wide)
             _add_by_class(out, right, d_right[:, None] * vector)
             np.add.at(out, noise, d_noise.T @ vector)
             bias += np.bincount(right, d_right, self.classes) + np.bincount(noise, d_noise.sum(0), self.classes)
@@ -131,10 +138,8 @@ class LogBilinear:
 
 def _add_by_class(sums: np.ndarray, classes: np.ndarray, values: np.ndarray) -> None:
     """Add each row of ``values`` to the row of its class."""
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    found = classes[order]
-    begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    sums[found[begin]] += np.add.reduceat(values[order], begin, axis=0)
+    place = classes[:, None] * sums.shape[1] + np.arange(sums.shape[1])
+    sums += np.bincount(place.ravel(), values.ravel(), sums.size).reshape(sums.shape)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,23 +173,38 @@ class Vocabulary:
         counts = np.array([known.get(END, 0), *[known[w] for w in heads], *[0] * (HEADS - len(heads)), *self.tail_sums])
         self.shares = (counts + 1) / (counts + 1).sum()
 
-        self._places: dict[bytes, int] | None = None
+        self._words: pa.Array | None = None
 
-    def places(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(place of each token among the known words, their number for others; class of each token)."""
-        if self._places is None:
-            self._places = {w: i for i, w in enumerate(self.known)}
-            self._classes = np.array([*(self.heads[w] if w in self.heads else _tail(w) for w in self.known), 0])
-        other = len(self._places)
-        get = self._places.get
-        found = np.fromiter(map(get, tokens, itertools.repeat(other)), np.int64, len(tokens))
-        classes = self._classes[found]
-        rare = np.flatnonzero(found == other)
-        classes[rare] = [_tail(w) if w else 0 for w in map(tokens.__getitem__, rare.tolist())]
-        return found, classes
+    def places(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """The tokens of all texts, one text after the other, each with its end.
 
-    def ids(self, tokens: list[bytes]) -> np.ndarray:
-        return self.places(tokens)[1]
+        (place of each token among the known words, their number for others; class of each token; first
+        token of each text and the end; which tokens are not known, and what they are).
+        """
+        if self._words is None:
+            self._words = pa.array(self.known, pa.binary())
+            self._classes = np.array([*(self.heads[w] if w in self.heads else _tail(w) for w in self.known), 0])
+            self._end = next((i for i, w in enumerate(self.known) if w == END), len(self.known))
+        other = len(self._words)
+        # these are the blanks that ``words`` splits at; it leaves empty words out
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        found, edges = split.flatten(), split.offsets.to_numpy()
+        real = pc.binary_length(found).to_numpy() > 0
+        starts = np.concatenate([[0], np.cumsum(real)])[edges - edges[0]] + np.arange(len(edges))
+        found = found.filter(pa.array(real)).cast(pa.binary())
+        place = np.full(starts[-1], self._end)
+        word = np.ones(len(place), dtype=bool)
+        word[starts[1:] - 1] = False
+        place[word] = pc.index_in(found, value_set=self._words).fill_null(other).to_numpy()
+        classes = self._classes[place]
+        rare = np.flatnonzero(place == other)
+        unknown = [END] * len(rare)
+        if is_word := np.flatnonzero(word[rare]).tolist():
+            at = rare[is_word]
+            for i, w in zip(is_word, found.take(pa.array(at - np.searchsorted(starts[1:], at, side="right"))).to_pylist(), strict=True):
+                unknown[i] = w
+        classes[rare] = [_tail(w) if w else 0 for w in unknown]
+        return place, classes, starts, rare, unknown
 
 
 def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -218,12 +238,15 @@ def _blocks(vocab: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, n = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                texts.append(vocab.ids([*words(text.as_py()), END]).astype(np.uint16))
-                n += len(texts[-1])
-                if n >= BLOCK:
-                    yield pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(texts).tobytes()], pa.binary())})
-                    texts, n = [], 0
+            for at in range(0, batch.num_rows, TEXTS):
+                _, classes, starts, _, _ = vocab.places(batch["text"].slice(at, TEXTS))
+                ids = classes.astype(np.uint16)
+                for first, end in itertools.pairwise(starts.tolist()):
+                    texts.append(ids[first:end])
+                    n += end - first
+                    if n >= BLOCK:
+                        yield pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(texts).tobytes()], pa.binary())})
+                        texts, n = [], 0
         if n:
             yield pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(texts).tobytes()], pa.binary())})
 
@@ -291,24 +314,19 @@ def _scored(model: LogBilinear, known: dict[bytes, float], vocab: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                texts = [[*words(t), END] for t in part["text"].to_pylist()]
-                starts = np.cumsum([0, *map(len, texts)])
-                tokens = [w for t in texts for w in t]
-                place, classes = vocab.places(tokens)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                place, classes, starts, rare, words_of = vocab.places(part["text"])
                 log = logs[place]
                 score = model.log_chances(classes, model.contexts(classes, starts[:-1])) / math.log(10)
                 # a word of a tail class has its share of the class: its count over the class's sum
                 tails = classes > HEADS
                 score[tails] += log[tails] - log_sums[classes[tails] - HEADS - 1]
-                rare = np.flatnonzero(place == other)
                 sums = lambda values: np.add.reduceat(values, starts[:-1]).tolist()  # noqa: E731, B023
                 scores, bases, knowns = sums(score), sums(log), sums((place != other).astype(np.int64))
-                words_of = [tokens[i] for i in rare.tolist()]
                 others = [Counter(words_of[a:b]) for a, b in itertools.pairwise(np.searchsorted(rare, starts).tolist())]
                 out: dict[str, list] = {c: [] for c in ("of", "doc", "word", "times", "tokens", "known", "score", "base")}
-                for i in range(len(texts)):
+                for i in range(part.num_rows):
                     own = others[i]
                     nothing = [None] * len(own)
                     out["of"] += [row] * (1 + len(own))

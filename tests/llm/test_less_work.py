@@ -1,8 +1,9 @@
 """Steps of the training-data operators that must do less work for the same rows."""
 
 import numpy as np
+import pyarrow as pa
 
-from sedimart.llm import ann, jaccard
+from sedimart.llm import ann, jaccard, lm
 
 
 def test_passages_that_two_texts_share_make_no_pairs(spark):
@@ -33,3 +34,23 @@ def test_search_gives_the_nearest_not_all_that_it_met():
     for i, (found, products) in enumerate(index.search(vectors, np.arange(400), directions, 5)):
         assert 5 <= len(found) <= 7
         assert products.tolist() == (vectors[found] * vectors[i]).sum(1).tolist()
+
+
+def test_words_are_looked_up_for_many_texts_at_once():
+    vocab = lm.Vocabulary({b"the": 9, b"": 4, "süß".encode(): 3, b"odd": 1}, 17, 4, {})
+    texts = ["The süß\todd\x0b\x0cnew  THE", None, "", " \n", "\xa0the  the\x1fthe"]
+    for sliced in (pa.array(texts), pa.array(["x the", *texts]).slice(1)):
+        place, classes, starts, rare, unknown = vocab.places(sliced)
+        tokens = [[*lm.words(t), lm.END] for t in texts]
+        flat = [w for t in tokens for w in t]
+        assert starts.tolist() == np.cumsum([0, *map(len, tokens)]).tolist()
+        assert place.tolist() == [list(vocab.known).index(w) if w in vocab.known else 4 for w in flat]
+        assert classes.tolist() == [vocab.heads[w] if w in vocab.heads else lm._tail(w) for w in flat]
+        assert unknown == [flat[i] for i in rare.tolist()] == [w for w in flat if w not in vocab.known]
+    assert lm.Vocabulary({}, 0, 0, {}).places(pa.array(["a", None]))[4] == [b"a", b"", b""]
+
+
+def test_gradients_add_up_by_class():
+    sums, classes, values = np.zeros((4, 3), np.float32), np.array([2, 0, 2]), np.arange(9.0).reshape(3, 3)
+    lm._add_by_class(sums, classes, values)
+    assert sums.tolist() == [[3, 4, 5], [0, 0, 0], [6, 8, 10], [0, 0, 0]]
